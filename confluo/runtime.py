@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,20 @@ def session(app: str = "confluo", master: str | None = None, **conf: str) -> Spa
     return builder.config(map=settings).getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once a context; they may run without our path."""
+    context = spark.sparkContext
+    if getattr(context, "_confluo_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="confluo-")) / "confluo.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(here.rglob("*.py")):
+            z.write(source, source.relative_to(here.parent))
+    context.addPyFile(str(archive))
+    context._confluo_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a local one is set only if the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
