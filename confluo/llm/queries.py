@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import materialize, table
-from . import bpe, components, mixing, pieces, survivors
+from . import addresses, bpe, components, mixing, pieces, survivors
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.same_location(table(spark, sf_dir, "silver_customer"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +42,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_current": p3_current,
     "p4_found": p4_found,
