@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import materialize, table
-from . import addresses, bpe, components, mixing, pieces, survivors
+from . import addresses, bpe, components, linkage, mixing, names, pieces, survivors
+
+
+def p1_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = [table(spark, sf_dir, n) for n in ("silver_customer", "customer_identity_map", "customer_match_predictions")]
+    return linkage.same_customers(*tables)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_pairs(spark, sf_dir).select("left_source_customer_id", "right_source_customer_id")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +34,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.prediction_groups(table(spark, sf_dir, "customer_match_predictions"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.same_organisation(table(spark, sf_dir, "silver_customer"), table(spark, sf_dir, "silver_partner_profile"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -42,10 +55,13 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_pairs": p1_pairs,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_current": p3_current,
     "p4_found": p4_found,
+    "p5_found": p5_found,
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
