@@ -1 +1 @@
-
+"""Column functions: standardisation, masks, scores."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core
+from . import accounts, core, resolution, texts
 
-QUERIES = dict(core.QUERIES)
-ORACLE = dict(core.ORACLE)
+QUERIES = core.QUERIES | texts.QUERIES | resolution.QUERIES | accounts.QUERIES
+ORACLE = core.ORACLE | texts.ORACLE | resolution.ORACLE | accounts.ORACLE

@@ -1 +1 @@
-
+"""Incremental upserts with Structured Streaming."""
