@@ -69,7 +69,9 @@ def enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = materialize(a, "scores")  # else the nested expressions are inlined into each other
     a = a.withColumn("renewal", weighted((c("chance"), 0.30), (c("engagement"), 0.20), (c("adoption"), 0.20), (c("support_health"), 0.20), (c("timing"), 0.05)))
     base = F.greatest(F.coalesce(c("contract"), F.lit(0.0)), F.lit(0.0))
-    return a.withColumn("lifetime_value", r(base * (1 + c("renewal")) * (1 + (F.coalesce(c("engagement"), F.lit(0.0)) + F.coalesce(c("adoption"), F.lit(0.0))) / 4), 2)).drop("chance", "timing")
+    more = 1 + (F.coalesce(c("engagement"), F.lit(0.0)) + F.coalesce(c("adoption"), F.lit(0.0))) / 4
+    value = base.cast("decimal(14,2)") * (1 + c("renewal")).cast("decimal(5,4)") * more.cast("decimal(7,6)")
+    return a.withColumn("lifetime_value", F.round(value, 2).cast("double")).drop("chance", "timing")
 
 
 def health_scores_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +166,7 @@ s1 as (select account, contract, status, expires, tickets, response,
   coalesce({_w(('1 - ' + _cl('tickets / 25.0::double'), 0.30), (_cl('satisfaction / 5.0::double'), 0.35), ('1 - ' + _cl('response / 1440.0::double'), 0.20), (_cl('support_score'), 0.15))}, 1.0) support_health,
   ({_chance})::double chance, (case when {_left} < 0 then 0.20 when {_left} <= 30 then 0.45 when {_left} <= 90 then 0.65 when {_left} is not null then 0.85 end)::double timing from agg),
 s2 as (select *, {_w(('chance', 0.30), ('engagement', 0.20), ('adoption', 0.20), ('support_health', 0.20), ('timing', 0.05))} renewal from s1),
-enriched as (select account, contract, status, expires, tickets, response, adoption, engagement, support_health, renewal, {_r('greatest(coalesce(contract, 0), 0) * (1 + renewal) * (1 + (coalesce(engagement, 0) + coalesce(adoption, 0)) / 4)', 2)} lifetime_value from s2)
+enriched as (select account, contract, status, expires, tickets, response, adoption, engagement, support_health, renewal, round(greatest(coalesce(contract, 0), 0)::decimal(20,2) * (1 + renewal)::decimal(5,4) * (1 + (coalesce(engagement, 0) + coalesce(adoption, 0)) / 4)::decimal(7,6), 2)::double lifetime_value from s2)
 """
 _HEALTH = _ENRICHED + f""",
 h as (select account, engagement, adoption, support_health, renewal, lifetime_value, {_r('coalesce(' + _cl('tickets / 25.0::double') + ', 0)', 6)} ticket_norm, {_r('coalesce(' + _cl('response / 1440.0::double') + ', 0)', 6)} response_risk,
