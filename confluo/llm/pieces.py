@@ -55,7 +55,7 @@ def choose_end(kinds: np.ndarray, start: int, limit: int, overlap: int) -> int:
     ``kinds[i]`` is the kind of the place after token i.
     """
     top = min(start + limit, len(kinds))
-    least = start + overlap + 1
+    least = min(start + overlap + 4, top)  # a character has at most four tokens
     half = max(least, start + limit // 2)
 
     def last(lo: int, level: int) -> int:
@@ -98,6 +98,8 @@ class Cutter:
             back = max(end - self.overlap, 1)
             while back > 1 and self.ends[back - 1] < 0:
                 back -= 1
+            while self.ends[back - 1] < 0:  # no whole character before: share less
+                back += 1
             self.begin, self.shared = int(self.ends[back - 1]), end - back
             self.ends, self.kinds = self.ends[back:], self.kinds[back:]
 
