@@ -14,6 +14,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def session(app: str = "confluo", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings all operators assume (UTC, AQE)."""
@@ -60,7 +62,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and return a DataFrame that reads it; the files go when the session ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # the written table replaces the plan, so its shuffle files can go at once; a lost executor re-reads the table
+    held = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, held)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
