@@ -165,14 +165,23 @@ def parse_addresses(records: DataFrame) -> DataFrame:
 
 
 def _places(parsed: DataFrame) -> DataFrame:
-    """Complete towns by their codes: the usual town of a code, or of its first three digits, fills a missing town and
-    replaces a close spelling."""
+    """Complete towns by their codes: the usual town of a code fills a missing town and replaces a close spelling.
+
+    The usual town of the code's first three digits, of which an area may hold several, stands in only for a close
+    spelling, and fills a missing town only where the code is unseen and all towns of the area are spellings of it.
+    """
+    near = lambda a, b: F.levenshtein(a, b) <= F.greatest(F.lit(2), F.floor(F.length(a) / 5))
     known = parsed.where("town is not null and zip is not null").groupBy("zip", "town").agg(F.count(F.lit(1)).alias("n"))
-    usual = known.groupBy("zip").agg(F.max(F.struct("n", "town")).alias("u")).select("zip", F.col("u.town").alias("zip_town"))
-    area = known.groupBy(F.substring("zip", 1, 3).alias("area"), "town").agg(F.sum("n").alias("n")).groupBy("area").agg(F.max(F.struct("n", "town"))["town"].alias("area_town"))
+    usual = known.groupBy("zip").agg(F.max(F.struct("n", "town")).alias("u")).select("zip", F.col("u.town").alias("zip_town"), F.col("u.n").alias("zip_n"))
+    towns = known.groupBy(F.substring("zip", 1, 3).alias("area"), "town").agg(F.sum("n").alias("n"))
+    area = towns.groupBy("area").agg(F.max(F.struct("n", "town"))["town"].alias("area_town"))
+    area = towns.join(area, "area").groupBy("area", "area_town").agg(F.every(near("town", "area_town")).alias("lone"))
     rows = parsed.withColumn("area", F.substring("zip", 1, 3)).join(usual, "zip", "left").join(area, "area", "left")
-    near = lambda c: F.levenshtein("town", F.col(c)) <= F.greatest(F.lit(2), F.floor(F.length("town") / 5))
-    town = F.when(F.col("town").isNull(), F.coalesce("area_town", "zip_town")).when(near("area_town"), F.col("area_town")).when(near("zip_town"), F.col("zip_town")).otherwise(F.col("town"))
+    # a code's only mention of a town may be misspelt
+    of_zip = F.when((F.col("zip_n") == 1) & near("zip_town", "area_town"), F.col("area_town")).otherwise(F.col("zip_town"))
+    rows = rows.withColumn("zip_town", of_zip)
+    fill = F.coalesce("zip_town", F.when(F.col("lone"), F.col("area_town")))
+    town = F.when(F.col("town").isNull(), fill).when(near("town", "zip_town"), F.col("zip_town")).when(near("town", "area_town"), F.col("area_town")).otherwise(F.col("town"))
     rows = rows.withColumn("town", town)
     return rows.select("id", "number", "street", "town")
 

@@ -163,6 +163,15 @@ def test_same_location(spark):
     assert got == Counter([(a, b) for a in five for b in five if a < b] + [("s3", "s4")])
 
 
+def test_missing_town_is_the_town_of_its_code(spark):
+    r = [record(f"a{i}", line=f"{i + 1} Maplebridge Street", city="Halton", code="77001") for i in range(6)]
+    r += [record(f"b{i}", line=f"{i + 1} Oakham Street", city="Springmere", code="77002") for i in range(3)]
+    r += [record("x", line="2 Oakham Street", code="77002"), record("y", line="3 Maplebridge Street", code="77001"), record("z", line="3 Maplebridge Street", code="77009")]
+    r += [record("c", line="5 Elm Street", city="Lonely", code="88001"), record("d", line="5 Elm Street", code="88002")]
+    got = rows(addresses.same_location(spark.createDataFrame(r, RECORD)))
+    assert got == Counter([("b1", "x"), ("a2", "y"), ("c", "d")])
+
+
 # ---- p5
 def test_trie_join_equals_brute_force(spark):
     rng = random.Random(6)
