@@ -2,9 +2,10 @@
 
 A name is read into its own words and a line of business; legal forms, remarks, given names and order are set aside.
 The own words joined are the string that is compared: split and joined words are then the same, and swapped words are
-rotations. Strings are sharded by their head, their tail and both ends; in a shard one side is held as a trie, and the
-other side's strings traverse it with a Levenshtein automaton (rows of the edit table, cut off beyond the bound),
-so all neighbours within the bound are enumerated without comparing pairs.
+rotations. Strings are cut into one segment more than edits are allowed, so one segment is untouched, and sharded by
+the segments, which the other side looks up at all places they can have moved to; in a shard one side is held as
+tries of what stands before and behind the segment, and the other side's strings traverse them with a Levenshtein
+automaton, so all neighbours within the bound are enumerated without comparing pairs.
 """
 
 from __future__ import annotations
@@ -174,20 +175,72 @@ def within(trie: dict, query: str, most: int) -> list[tuple[str, int]]:
     return out
 
 
-def _shards(word):
-    """Shards of a word: its first six letters, its last nine, its first three and last three."""
-    s = lambda kind, key: F.struct(F.concat(F.lit(kind), key).alias("shard"))
-    head, tail, both = F.substring(word, 1, 6), F.expr(f"right({word}, 9)"), F.concat(F.substring(word, 1, 3), F.expr(f"right({word}, 3)"))
-    return F.explode(F.array(s("a", head), s("z", tail), s("m", both)))
+def _segment_shards(word: str, k: int):
+    """Shards of an indexed word for ``k`` edits: edits, number, length of the word, and each of its k + 1 segments."""
+    n = F.length(word)
+    begin = lambda i: F.floor(n * i / (k + 1)).cast("int")
+    return [F.concat(F.lit(f"{k}{i}"), n.cast("string"), F.lit(":"), F.substring(F.col(word), begin(i) + 1, begin(i + 1) - begin(i))) for i in range(k + 1)]
+
+
+def _asked_shards(query: str, k: int):
+    """Shards that hold all words within ``k`` edits of a query: with i segments before it, an untouched segment has
+    moved by at most i edits before and k - i behind it, for words of all lengths within k."""
+    n, out = F.length(query), []
+    for delta in range(-k, k + 1):  # the query's length less the word's
+        size = n - delta
+        begin = lambda i: F.floor(size * i / (k + 1)).cast("int")  # noqa: B023, E731
+        for i in range(k + 1):
+            for moved in range(max(-i, delta - (k - i)), min(i, delta + (k - i)) + 1):
+                at, long = begin(i) + moved, begin(i + 1) - begin(i)
+                fits = (size > 0) & (at >= 0) & (at + long <= n)
+                out.append(F.when(fits, F.concat(F.lit(f"{k}{i}"), size.cast("string"), F.lit(":"), F.substring(F.col(query), at + 1, long))))
+    return out
+
+
+def _exploded(df: DataFrame, name: str, shards) -> DataFrame:
+    return df.select(name, F.explode(F.array_distinct(F.array_compact(shards))).alias("shard"))
+
+
+def _in_shard(shard: str, words: list[str], asked: list[str]) -> Iterator[tuple[str, str, int]]:
+    """query, word, edits of the pairs within the shard's edits whose parts before and behind the segment allow it."""
+    k, i = int(shard[0]), int(shard[1])
+    length, segment = shard[2:].split(":", 1)
+    at, long, before, behind = int(length) * i // (k + 1), len(segment), i, k - i
+    rights: dict[str, list[str]] = {}
+    for w in words:
+        rights.setdefault(w[:at], []).append(w[at + long :])
+    lefts = build_trie(list(rights)) if before else None
+    tries: dict[str, dict] = {}
+    for query in asked:
+        delta = len(query) - int(length)
+        for place in range(max(at - before, at + delta - behind, 0), min(at + before, at + delta + behind) + 1):
+            if query[place : place + long] != segment:
+                continue
+            head, tail = query[:place], query[place + long :]
+            for left, d in within(lefts, head, before) if before else ((head, 0),) if head in rights else ():
+                if not behind:
+                    if tail in rights[left]:
+                        yield query, left + segment + tail, d
+                    continue
+                if left not in tries:
+                    tries[left] = build_trie(rights[left])
+                for right, e in within(tries[left], tail, behind):
+                    yield query, left + segment + right, d + e
 
 
 def trie_join(queries: DataFrame, index: DataFrame, most: int = 2, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """query, word, edits for all (query, word) within ``most`` edits that share a shard; one edit for words under ten letters.
+    """query, word, edits for all (query, word) within ``most`` (0 to 2) edits; one edit for queries under ten letters.
 
     Words in a shard are split at random into tries of about ``shard_rows``, so no task holds a hot shard.
     """
-    q = queries.select("query").distinct().select("query", _shards("query").alias("s")).select("query", "s.shard")
-    w = index.select("word").distinct().select("word", _shards("word").alias("s")).select("word", "s.shard")
+    few = min(most, 1)
+    q = queries.select("query").distinct().where("query <> ''")
+    q = _exploded(q, "query", F.when(F.length("query") >= 10, F.array(*_asked_shards("query", most))).otherwise(F.array(*_asked_shards("query", few))))
+    w = index.select("word").distinct().where("word <> ''")
+    none = F.array().cast("array<string>")
+    by_most = F.when(F.length("word") >= 10 - most, F.array(*_segment_shards("word", most))).otherwise(none)
+    by_few = F.when(F.length("word") <= 9 + few, F.array(*_segment_shards("word", few))).otherwise(none)
+    w = _exploded(w, "word", F.concat(by_most, by_few))
     size = w.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("parts"))
     w = w.join(q.select("shard").distinct(), "shard", "left_semi").join(size, "shard")
     tries = w.groupBy("shard", F.pmod(F.xxhash64("word"), "parts").alias("part")).agg(F.collect_list("word").alias("words"))
@@ -198,16 +251,8 @@ def trie_join(queries: DataFrame, index: DataFrame, most: int = 2, shard_rows: i
         for batch in batches:
             qs, ws, ds = [], [], []
             for shard, words, asked_ in zip(*(c.to_pylist() for c in batch.columns)):
-                head, tail = {"a": (6, 0), "z": (0, 9), "m": (3, 3)}[shard[0]]
-                inner = lambda x: x[min(head, len(x)) : max(len(x) - tail, min(head, len(x)))]  # noqa: B023, E731
-                full: dict[str, list[str]] = {}
-                for x in words:
-                    full.setdefault(inner(x), []).append(x)
-                trie = build_trie(list(full))
-                for query in asked_:
-                    for part, d in within(trie, inner(query), most if len(query) >= 10 else 1):
-                        for x in full[part]:
-                            qs.append(query), ws.append(x), ds.append(d)
+                for query, word, d in _in_shard(shard, words, asked_):
+                    qs.append(query), ws.append(word), ds.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(qs, pa.string()), pa.array(ws, pa.string()), pa.array(ds, pa.int32())], names=["query", "word", "edits"])
 
     return pairs.mapInArrow(run, "query string, word string, edits int").groupBy("query", "word").agg(F.min("edits").alias("edits"))

@@ -186,6 +186,27 @@ def test_trie_join_equals_brute_force(spark):
     assert len(got & shared) >= 0.97 * len(shared)
 
 
+def test_trie_join_misses_no_pair(spark):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 24))) for _ in range(60)] + ["lisushsexwalutbridge", "pinitdongranitehurst", "abcdefghi"]
+    typo = lambda w: (lambda i: w[:i] + rng.choice(["", "z", w[i : i + 1] + "z"]) + w[i + 1 :])(rng.randrange(len(w) + 1))
+    words = sorted({x for w in base for _ in range(12) if (x := typo(typo(w)) if rng.random() < 0.6 else typo(w))} | {"lizushsexwalnutbridge", "pinithdongranitehurzt", "bbcdefghi"} | set(base))
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    brute = {(a, b, d) for a in base for b in words if (d := plain(a, b)) <= (2 if len(a) >= 10 else 1)}
+    queries, index = spark.createDataFrame([(w,) for w in base], "query string"), spark.createDataFrame([(w,) for w in words], "word string")
+    for shard_rows in (20_000, 3):
+        got = Counter(tuple(r) for r in names.trie_join(queries, index, 2, shard_rows=shard_rows).collect())
+        assert got == Counter(brute)
+
+
 def test_within_counts_edits():
     trie = names.build_trie(["kitten", "sitten", "sitting", "mitten", ""])
     assert sorted(names.within(trie, "sitten", 2)) == [("kitten", 1), ("mitten", 1), ("sitten", 0), ("sitting", 2)]
