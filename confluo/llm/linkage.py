@@ -55,7 +55,7 @@ def features(rows: DataFrame) -> DataFrame:
     base = rows.select(F.col("source_customer_id").alias("id"), "source_system", local.alias("local"), domain.alias("domain"), phone_digits(F.col("phone")).alias("phone"))
     names = materialize(parse_names(rows, "source_customer_id", "company_name"), "names")
     words = materialize(word_counts(names), "words")
-    near = materialize(neighbours(words, words.where("n = 1"), words, 2), "near")
+    near = materialize(neighbours(words, words, words, 2), "near")
     canon = canonical_words(words, near)
     named = names.join(canon, "word").select("id", "word", "canon", "sector", "turns")
     at = locations(rows).select("id", F.concat_ws("|", "number", "street", "town").alias("place"))

@@ -242,6 +242,11 @@ def test_linkage(spark):
     assert linkage.same_customers(spark.createDataFrame([], RECORD), *empty).count() == 0
 
 
+def test_repeated_misspelling_gives_way(spark):
+    data = [record(f"S{i % 3}-{i}", f"S{i % 3}", "Kadorimu Belanotu Foods") for i in range(9)] + [record(f"S4-{i}", "S4", "Kadorimu Belanoto Foods") for i in range(2)]
+    assert {r["canon"] for r in linkage.features(spark.createDataFrame(data, RECORD)).collect()} == {"kadorimubelanotu"}
+
+
 def test_posterior_orders_evidence():
     prior, m, u = linkage.estimate([((1, 1, 1, 1), 90), ((5, 4, 3, 2), 200), ((1, 0, 3, 2), 5), ((0, 4, 1, 0), 4)])
     p = lambda x: linkage.posterior(x, prior, m, u)
