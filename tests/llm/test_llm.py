@@ -242,12 +242,26 @@ def test_linkage(spark):
     assert linkage.same_customers(spark.createDataFrame([], RECORD), *empty).count() == 0
 
 
+def test_a_value_that_many_names_share_links_nobody(spark):
+    rng, data = random.Random(8), []
+    for i in range(150):
+        a, b = ("".join(rng.choice("bdgklmnprt") + rng.choice("aeiou") for _ in range(5)) for _ in range(2))
+        for s in ("S1", "S2"):
+            data.append(record(f"{s}-{i:03d}", s, f"{a} {b} Foods", "legacy@migration.example", "5550001111", line="1 Office Street", city="Halton"))
+    df = spark.createDataFrame(data, RECORD)
+    f = linkage.features(df)
+    assert f.where("address_shared and domain_shared and phone_shared and place_shared").count() == 300
+    assert linkage.candidates(f).count() == 150  # the names alone open blocks
+    want = {(f"S1-{i:03d}", f"S2-{i:03d}") for i in range(150)}
+    assert {(r["left"], r["right"]) for r in linkage.linked(df).collect()} == want
+
+
 def test_repeated_misspelling_gives_way(spark):
     data = [record(f"S{i % 3}-{i}", f"S{i % 3}", "Kadorimu Belanotu Foods") for i in range(9)] + [record(f"S4-{i}", "S4", "Kadorimu Belanoto Foods") for i in range(2)]
     assert {r["canon"] for r in linkage.features(spark.createDataFrame(data, RECORD)).collect()} == {"kadorimubelanotu"}
 
 
 def test_posterior_orders_evidence():
-    prior, m, u = linkage.estimate([((1, 1, 1, 1), 90), ((5, 4, 3, 2), 200), ((1, 0, 3, 2), 5), ((0, 4, 1, 0), 4)])
+    prior, m, u = linkage.estimate([((1, 1, 1, 1), 90), ((6, 5, 3, 2), 200), ((1, 0, 3, 2), 5), ((0, 5, 1, 0), 4)])
     p = lambda x: linkage.posterior(x, prior, m, u)
-    assert p((1, 1, 1, 1)) > p((1, 0, 0, 0)) > p((5, 4, 3, 2)) and F is not None
+    assert p((1, 1, 1, 1)) > p((1, 0, 0, 0)) > p((6, 5, 3, 2)) and F is not None
