@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..runtime import discard, materialize
 from .addresses import locations
 from .components import connected_groups, record_id
-from .names import canonical_words, neighbours, parse_names, word_counts
+from .names import canonical_words, parse_names, respelled, word_counts
 from .survivors import counting_rows, says_something
 
 FIELDS = ("name", "email", "phone", "place")
@@ -65,15 +65,15 @@ def features(rows: DataFrame) -> DataFrame:
     """id, source_system, canon, word, turns, sector, address, domain, domain_fits (a word of the name is in it),
     phone, place, and for each of ``VALUES`` whether it is shared, of counting rows."""
     rows = materialize(rows, "unresolved")  # read three times
-    names = materialize(parse_names(rows, "source_customer_id", "company_name"), "names")
+    parsed = materialize(parse_names(rows, "source_customer_id", "company_name"), "parsed")
+    names = respelled(parsed)
     words = materialize(word_counts(names), "words")
-    near = materialize(neighbours(words, words, words, 2), "near")
-    canon = canonical_words(words, near)
+    canon = canonical_words(words)
     local, domain = email_parts(F.col("email"))
     base = rows.select(F.col("source_customer_id").alias("id"), "source_system", F.concat_ws("@", local, domain).alias("address"), domain.alias("domain"), phone_digits(F.col("phone")).alias("phone"))
     base = base.withColumn("address", F.when(F.col("domain").isNotNull(), F.col("address")))
     named = names.join(canon, "word").select("id", "word", "canon", "sector", "turns")
-    at = locations(rows).select("id", F.concat_ws("|", "number", "street", "town").alias("place"))
+    at = locations(rows).select("id", F.concat_ws("|", "number", "street", "kind", "point", "town").alias("place"))
     letters = F.regexp_replace(F.substring_index("domain", ".", 1), "[^a-z]", "")
     inside = F.exists("turns", lambda t: (F.levenshtein(letters, t) <= 3) | letters.contains(F.right(t, F.lit(8))) | letters.contains(F.left(t, F.lit(8))))
     joined = base.join(named, "id", "left").join(at, "id", "left").withColumn("domain_fits", F.coalesce(inside, F.lit(False)))
@@ -84,7 +84,7 @@ def features(rows: DataFrame) -> DataFrame:
         of_kind = shared.where(F.col("kind") == v).select(F.col("value").alias(v), F.lit(True).alias(f"{v}_shared"))
         out = out.join(of_kind, v, "left").withColumn(f"{v}_shared", F.coalesce(f"{v}_shared", F.lit(False)))
     out = materialize(out, "linkage")
-    for used in (rows, names, words, near, plain, shared):
+    for used in (rows, parsed, names, words, plain, shared):
         discard(used)
     return out
 

@@ -1,8 +1,8 @@
 """Variant spellings of organisation names, by trie joins.
 
 A name is read into its own words and a line of business; legal forms, remarks, given names and order are set aside.
-The own words joined are the string that is compared: split and joined words are then the same, and swapped words are
-rotations. Strings are cut into one segment more than edits are allowed, so one segment is untouched, and sharded by
+Single words that many organisations share are told from their misspellings first (``token_rewrites``). Then the own
+words joined are the string that is compared, in every order: split, joined and swapped words are the same. Strings are cut into one segment more than edits are allowed, so one segment is untouched, and sharded by
 the segments, which the other side looks up at all places they can have moved to; in a shard one side is held as
 tries of what stands before and behind the segment, and the other side's strings traverse them with a Levenshtein
 automaton, so all neighbours within the bound are enumerated without comparing pairs.
@@ -10,16 +10,17 @@ automaton, so all neighbours within the bound are enumerated without comparing p
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.history import latest_by
-from ..runtime import materialize
+from ..runtime import discard, materialize
 from .addresses import says
 from .survivors import counting_rows
 
@@ -116,22 +117,26 @@ def parse_name(name: str | None) -> tuple[tuple[str, ...], str] | None:
     return (tuple(own), sector) if own else None
 
 
-def rotations(words: tuple[str, ...]) -> list[str]:
-    return list(dict.fromkeys("".join(words[i:] + words[:i]) for i in range(len(words))))
+def orders(own: Column) -> Column:
+    """The own words joined in every order; of more than four words (120 orders and more) in every rotation."""
+    joined = lambda *parts: F.concat(*[F.get(own, F.lit(i - 1)) for i in parts])
+    turns = F.transform(F.sequence(F.lit(1), F.size(own)), lambda i: F.concat(F.array_join(F.slice(own, i, F.size(own)), ""), F.array_join(F.slice(own, 1, i - 1), "")))
+    every = lambda n: F.array(*[joined(*p) for p in itertools.permutations(range(1, n + 1))])
+    return F.array_distinct(F.when(F.size(own) == 3, every(3)).when(F.size(own) == 4, every(4)).otherwise(turns))
 
 
 def parse_names(df: DataFrame, id_column: str, name_column: str) -> DataFrame:
-    """id, word (own words joined), turns (its rotations), sector; rows whose name says nothing are left out."""
+    """id, name (own words with blanks between), sector; rows whose name says nothing are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(i, p) for i, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (p := parse_name(n))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in rows], pa.string()), pa.array(["".join(p[0]) for _, p in rows], pa.string()), pa.array([rotations(p[0]) for _, p in rows], pa.list_(pa.string())), pa.array([p[1] for _, p in rows], pa.string())],
-                names=["id", "word", "turns", "sector"],
+                [pa.array([i for i, _ in rows], pa.string()), pa.array([" ".join(p[0]) for _, p in rows], pa.string()), pa.array([p[1] for _, p in rows], pa.string())],
+                names=["id", "name", "sector"],
             )
 
-    return df.select(F.col(id_column).cast("string"), name_column).mapInArrow(run, "id string, word string, turns array<string>, sector string")
+    return df.select(F.col(id_column).cast("string"), name_column).mapInArrow(run, "id string, name string, sector string")
 
 
 def build_trie(words: list[str]) -> dict:
@@ -228,31 +233,33 @@ def _in_shard(shard: str, words: list[str], asked: list[str]) -> Iterator[tuple[
                     yield query, left + segment + right, d + e
 
 
-def trie_join(queries: DataFrame, index: DataFrame, most: int = 2, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """query, word, edits for all (query, word) within ``most`` (0 to 2) edits; one edit for queries under ten letters.
+def trie_join(queries: DataFrame, index: DataFrame, most: int = 2, shard_rows: int = SHARD_ROWS, long: int = 10, swaps: bool = False) -> DataFrame:
+    """query, word, edits for all (query, word) within ``most`` (0 to 2) edits; one edit for queries under ``long`` letters.
+    ``swaps``: the edits given count a swap of neighbours as one, though the bound counts it as two.
 
-    Words in a shard are split at random into tries of about ``shard_rows``, so no task holds a hot shard.
+    Words and queries of a shard are split at random into parts of about ``shard_rows``, so no task holds a hot shard.
     """
     few = min(most, 1)
     q = queries.select("query").distinct().where("query <> ''")
-    q = _exploded(q, "query", F.when(F.length("query") >= 10, F.array(*_asked_shards("query", most))).otherwise(F.array(*_asked_shards("query", few))))
+    q = _exploded(q, "query", F.when(F.length("query") >= long, F.array(*_asked_shards("query", most))).otherwise(F.array(*_asked_shards("query", few))))
     w = index.select("word").distinct().where("word <> ''")
     none = F.array().cast("array<string>")
-    by_most = F.when(F.length("word") >= 10 - most, F.array(*_segment_shards("word", most))).otherwise(none)
-    by_few = F.when(F.length("word") <= 9 + few, F.array(*_segment_shards("word", few))).otherwise(none)
+    by_most = F.when(F.length("word") >= long - most, F.array(*_segment_shards("word", most))).otherwise(none)
+    by_few = F.when(F.length("word") <= long - 1 + few, F.array(*_segment_shards("word", few))).otherwise(none)
     w = _exploded(w, "word", F.concat(by_most, by_few))
-    size = w.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("parts"))
-    w = w.join(q.select("shard").distinct(), "shard", "left_semi").join(size, "shard")
-    tries = w.groupBy("shard", F.pmod(F.xxhash64("word"), "parts").alias("part")).agg(F.collect_list("word").alias("words"))
-    asked = q.join(size, "shard").groupBy("shard", F.pmod(F.xxhash64("query"), F.lit(1) + F.col("parts")).alias("q_part")).agg(F.collect_list("query").alias("queries"))
-    pairs = asked.join(tries, "shard").select("shard", "words", "queries")
+    parts = lambda df, name: df.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias(name))
+    sizes = parts(w, "parts").join(parts(q, "q_parts"), "shard")
+    tries = w.join(sizes, "shard").groupBy("shard", F.pmod(F.xxhash64("word"), "parts").alias("part")).agg(F.collect_list("word").alias("words"))
+    asked = q.join(sizes, "shard").groupBy("shard", F.pmod(F.xxhash64("query"), "q_parts").alias("q_part")).agg(F.collect_list("query").alias("queries"))
+    # few bytes, much work: spread evenly, as no coalescing by size would
+    pairs = asked.join(tries, "shard").select("shard", "words", "queries").repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             qs, ws, ds = [], [], []
             for shard, words, asked_ in zip(*(c.to_pylist() for c in batch.columns)):
                 for query, word, d in _in_shard(shard, words, asked_):
-                    qs.append(query), ws.append(word), ds.append(d)
+                    qs.append(query), ws.append(word), ds.append(edits(query, word, most) if swaps else d)
             yield pa.RecordBatch.from_arrays([pa.array(qs, pa.string()), pa.array(ws, pa.string()), pa.array(ds, pa.int32())], names=["query", "word", "edits"])
 
     return pairs.mapInArrow(run, "query string, word string, edits int").groupBy("query", "word").agg(F.min("edits").alias("edits"))
@@ -265,15 +272,15 @@ def neighbours(words: DataFrame, queries: DataFrame, index: DataFrame, most: int
     return turned.join(near, "query").where("word <> other").groupBy("word", "other").agg(F.min("edits").alias("edits"))
 
 
-def canonical_words(words: DataFrame, pairs: DataFrame) -> DataFrame:
+def canonical_words(words: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """word, canon: each distinct word of ``words`` (word, turns, n, sector) and the spelling it stands for.
 
-    A spelling gives way to a neighbour in ``pairs`` or to a rotation: to a commoner rotation (of equally common ones the
+    A spelling gives way to another order of its words or to a neighbour in ``pairs``: to a commoner order (of equally common ones the
     least in order), to a neighbour at least three times as common, and a single spelling to any, if their lines of
     business don't differ; nearest first. So of two well-supported neighbours each stays.
     """
     turned = words.select("word", F.explode("turns").alias("other")).where("word <> other").join(words.select(F.col("word").alias("other")), "other").select("word", "other", F.lit(0).alias("edits"))
-    seen = pairs.select("word", "other", "edits").unionByName(turned)
+    seen = pairs.select("word", "other", "edits").unionByName(turned) if pairs is not None else turned
     seen = seen.unionByName(seen.select(F.col("other").alias("word"), F.col("word").alias("other"), "edits")).groupBy("word", "other").agg(F.min("edits").alias("edits"))
     own = words.select("word", "n", "sector")
     of_other = words.select(F.col("word").alias("other"), F.col("n").alias("n_other"), F.col("sector").alias("s_other"))
@@ -290,9 +297,41 @@ def canonical_words(words: DataFrame, pairs: DataFrame) -> DataFrame:
     return words.select("word").join(step, "word", "left").select("word", F.coalesce("canon", "word").alias("canon"))
 
 
-def word_counts(parsed: DataFrame) -> DataFrame:
+def token_rewrites(tokens: DataFrame, known: int = 10, times: int = 10) -> DataFrame:
+    """token, right: the single words that are misspellings of a known one.
+
+    tokens: token, n, of five letters and more. A word gives way to the nearest (swaps of neighbours count as one edit) of the words within two edits,
+    one under seven letters, that at least ``known`` names hold, ``times`` as many as hold it; if two are as near, and
+    neither is ``times`` as common as the other, it stays. Many organisations share a word, so a misspelling is told from
+    a word even where each organisation has few records.
+    """
+    near = trie_join(tokens.select(F.col("token").alias("query")), tokens.where(F.col("n") >= known).select(F.col("token").alias("word")), 2, long=7, swaps=True)
+    pairs = near.where("query <> word").join(tokens.select(F.col("token").alias("query"), F.col("n").alias("n_old")), "query").join(tokens.select(F.col("token").alias("word"), F.col("n").alias("n_new")), "word")
+    nearest = Window.partitionBy("query").orderBy("edits", F.desc("n_new"), "word")
+    fits = pairs.where(F.col("n_new") >= times * F.col("n_old"))
+    ranked = fits.withColumn("k", F.row_number().over(nearest)).withColumn("next", F.lead(F.struct("edits", "n_new")).over(nearest)).where("k = 1")
+    alone = F.col("next").isNull() | (F.col("next.edits") > F.col("edits")) | (F.col("n_new") >= times * F.col("next.n_new"))
+    return ranked.where(alone).select(F.col("query").alias("token"), F.col("word").alias("right"))
+
+
+def respelled(parsed: DataFrame) -> DataFrame:
+    """id, word, turns, sector of parsed names, with misspelt single words set right; word: own words joined, turns: in all orders."""
+    names = materialize(parsed.groupBy("name").agg(F.count(F.lit(1)).alias("n")), "distinct-names")
+    tokens = names.select(F.explode(F.split("name", " ")).alias("token"), "n").where("length(token) >= 5")
+    tokens = materialize(tokens.groupBy("token").agg(F.sum("n").alias("n")), "tokens")
+    cells = names.select("name", F.posexplode(F.split("name", " ")).alias("at", "token")).join(token_rewrites(tokens), "token", "left")
+    own = F.array_sort(F.collect_list(F.struct("at", F.coalesce("right", "token").alias("t"))))["t"]
+    touched = cells.groupBy("name").agg(F.bool_or(F.col("right").isNotNull()).alias("touched"), own.alias("own")).where("touched").select("name", "own")
+    own = F.coalesce("own", F.split("name", " "))
+    out = materialize(parsed.join(touched, "name", "left").select("id", F.array_join(own, "").alias("word"), orders(own).alias("turns"), "sector"), "names")
+    discard(names)
+    discard(tokens)
+    return out
+
+
+def word_counts(names: DataFrame) -> DataFrame:
     """word, n, turns, sector (of those named, the last in order)."""
-    return parsed.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("turns").alias("turns"), F.max("sector").alias("sector"))
+    return names.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("turns").alias("turns"), F.max("sector").alias("sector"))
 
 
 def same_organisation(records: DataFrame, partners: DataFrame) -> DataFrame:
@@ -303,17 +342,20 @@ def same_organisation(records: DataFrame, partners: DataFrame) -> DataFrame:
     """
     latest = latest_by(partners.select("partner_id", "company_name", "last_modified_timestamp", "standardized_at").where("partner_id is not null"), ["partner_id"], [F.col("last_modified_timestamp"), F.col("standardized_at")])
     rows = counting_rows(records.select("source_customer_id", "company_name", "last_modified_timestamp", "standardized_at").where("source_customer_id is not null"))
-    c = materialize(parse_names(rows, "source_customer_id", "company_name"), "record-names")
-    p = materialize(parse_names(latest, "partner_id", "company_name"), "partner-names")
-    words = materialize(word_counts(c.unionByName(p)), "words")
+    both = parse_names(rows, "source_customer_id", "company_name").withColumn("side", F.lit("c")).unionByName(parse_names(latest, "partner_id", "company_name").withColumn("side", F.lit("p")))
+    parsed = materialize(both.withColumn("id", F.concat("side", "id")).drop("side"), "parsed")
+    named = respelled(parsed)
+    words = materialize(word_counts(named), "words")
+    partner = F.col("id").startswith("p")
     # first the partners' neighbours, then the neighbours of the spellings found, for a misspelt partner has the right name between
-    seeds = words.join(p.select("word").distinct(), "word", "left_semi")
+    seeds = words.join(named.where(partner).select("word").distinct(), "word", "left_semi")
     first = materialize(neighbours(words, seeds, words, 2), "near")
-    again = words.where("n > 1").join(first.select(F.col("other").alias("word")).distinct(), "word", "left_semi").join(seeds.select("word"), "word", "left_anti")
-    second = neighbours(words, again, words, 2)
-    near = materialize(first.unionByName(second), "near")
-    canon = materialize(canonical_words(words, near), "canon")
-    left = c.join(canon, "word").select(F.col("id").alias("source_customer_id"), "canon", F.col("sector").alias("c_sector"))
-    right = p.join(canon, "word").select(F.col("id").alias("partner_id"), "canon", F.col("sector").alias("p_sector"))
+    again = words.join(first.select(F.col("other").alias("word")).distinct(), "word", "left_semi").join(seeds.select("word"), "word", "left_anti")
+    near = materialize(first.unionByName(neighbours(words, again, words, 2)), "near")
+    canon = canonical_words(words, near)
+    side = lambda keep, name, sector: named.where(keep).join(canon, "word").select(F.substr("id", F.lit(2)).alias(name), "canon", F.col("sector").alias(sector))
+    found = materialize(side(~partner, "source_customer_id", "c_sector").join(side(partner, "partner_id", "p_sector"), "canon"), "found")
     agree = (F.col("c_sector") == F.col("p_sector")) | (F.col("c_sector") == "") | (F.col("p_sector") == "")
-    return left.join(right, "canon").where(agree).select("source_customer_id", "partner_id")
+    for used in (parsed, named, words, first, near):
+        discard(used)
+    return found.where(agree).select("source_customer_id", "partner_id")

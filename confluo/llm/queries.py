@@ -21,6 +21,10 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.same_location(table(spark, sf_dir, "silver_customer"))
 
 
+def p2_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.places(table(spark, sf_dir, "silver_customer"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = survivors.survivors(table(spark, sf_dir, "customer_identity_map"), table(spark, sf_dir, "silver_customer"))
     return out.select("cluster_id", "field_name", "source_customer_id")
@@ -58,6 +62,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_pairs": p1_pairs,
     "p2_found": p2_found,
+    "p2_places": p2_places,
     "p3_found": p3_found,
     "p3_current": p3_current,
     "p4_found": p4_found,
