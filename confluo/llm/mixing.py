@@ -4,8 +4,10 @@ The size of the mix is the largest at which every present source reaches its sha
 than the source's ``max_repeats`` times. A source then needs m = target tokens / own tokens copies of a document on
 average: floor(m) of each, and one more of a sample with inclusion probability m - floor(m). The sample is drawn by
 the cube method, balanced on tokens and documents: in blocks of about ``BLOCK`` documents probabilities move along
-the null space of the constraints until at most two are fractional, and for those the constraints are dropped one by
-one (landing). However large a source is, no task holds more than a block of its sizes.
+the null space of the constraints until at most two are fractional. The fractional documents of all blocks fly on
+together, again in blocks, until a source has at most a block of them; their last flight ends with the one landing, in
+which the constraints are dropped one by one. Probabilities keep their expectation throughout, a source misses its
+totals by what two documents can make, and no task holds more than a block of sizes.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ def cube_flight(sizes: list[float], pi: list[float], rng: random.Random, landing
     pi = list(pi)
     scale = max(max(sizes, default=1.0), 1.0)
     open_ = [i for i, p in enumerate(pi) if EPS < p < 1 - EPS]
-    weight = {i: (sizes[i] / scale / pi[i], 1.0 / pi[i]) for i in open_}  # constraint values by the first probability
+    weight = {i: (sizes[i] / scale, 1.0) for i in open_}  # all units of a source began with one probability
     constraints = 2
     held: list[int] = []
     queue = iter(open_)
@@ -76,37 +78,34 @@ def cube_flight(sizes: list[float], pi: list[float], rng: random.Random, landing
         held = [i for i in held if EPS < pi[i] < 1 - EPS]
 
 
-def balanced_take(sizes: list[int], fraction: float, rng: random.Random) -> list[bool]:
-    """Which units a balanced sample takes, in size classes from the largest down.
+def _flights(units: DataFrame, seed: int, last: bool) -> DataFrame:
+    """The units after a flight in each block; ``last``: one block a source, from the largest unit down, with the landing."""
 
-    The flight ends with up to two fractional units of any size, and large ones move least. So each octave of sizes has
-    its own flight and landing, and the tokens by which it missed are asked of the next class, whose probabilities are
-    scaled for it: what remains at the end is of the order of the smallest unit.
-    """
-    taken, missed = [False] * len(sizes), 0.0
-    classes: dict[int, list[int]] = {}
-    for i, size in enumerate(sizes):
-        classes.setdefault(int(size).bit_length(), []).append(i)
-    for octave in sorted(classes, reverse=True):
-        units = classes[octave]
-        rng.shuffle(units)
-        tokens = sum(sizes[i] for i in units)
-        wanted = fraction * tokens + missed
-        share = min(max(wanted / tokens, 0.0), 1.0)
-        moved = cube_flight([float(sizes[i]) for i in units], [share] * len(units), rng, True)
-        for i, p in zip(units, moved):
-            taken[i] = p > 0.5
-        missed = wanted - sum(sizes[i] for i in units if taken[i])
-    return taken
-
-
-def _sample(moving: DataFrame, seed: int) -> DataFrame:
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        rng = random.Random(f"{seed}|{'|'.join(map(str, key))}")
         pdf = pdf.sort_values("__id", kind="stable")
-        taken = balanced_take(pdf["n_tokens"].tolist(), float(pdf["pi"].iloc[0]), random.Random(f"{seed}|{key[0]}|{key[1]}"))
-        return pdf.assign(pi=[float(t) for t in taken])
+        order = rng.sample(range(len(pdf)), len(pdf))
+        if last:
+            order.sort(key=lambda i: -pdf["n_tokens"].iloc[i])
+        pdf = pdf.iloc[order]
+        return pdf.assign(pi=cube_flight(pdf["n_tokens"].astype(float).tolist(), pdf["pi"].tolist(), rng, last))
+
+    return units.groupBy(*(["source"] if last else ["source", "__block"])).applyInPandas(run, units.schema)
 
-    return moving.groupBy("source", "__block").applyInPandas(run, moving.schema)
+
+def _sample(units: DataFrame, seed: int, block: int) -> DataFrame:
+    """The units with a probability of 0 or 1."""
+    done, salt = None, seed
+    while True:
+        sizes = units.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))  # one row a source
+        if (sizes.agg(F.max("blocks")).first()[0] or 0) <= 1:
+            landed = _flights(units, salt, True)
+            return landed if done is None else done.unionByName(landed)
+        blocked = units.drop("__block").join(F.broadcast(sizes), "source").withColumn("__block", F.pmod(F.xxhash64("__id", F.lit(salt)), "blocks").cast("int")).select(*units.columns)
+        flown = materialize(_flights(blocked, salt, False), "flown")
+        whole = flown.where(f"pi <= {EPS} or pi >= {1 - EPS}")
+        done = whole if done is None else done.unionByName(whole)
+        units, salt = flown.where(f"pi > {EPS} and pi < {1 - EPS}"), salt + 1
 
 
 def mix_plan(sizes: list[dict], targets: list[dict]) -> dict[str, dict]:
@@ -123,37 +122,46 @@ def mix_plan(sizes: list[dict], targets: list[dict]) -> dict[str, dict]:
     for t in present:
         m = t["target_share"] / whole * size / have[t["source"]]["tokens"]
         m = round(m) if abs(m - round(m)) < 1e-9 else m
-        plan[t["source"]] = {"copies": int(m), "fraction": m - int(m), "documents": have[t["source"]]["documents"]}
+        plan[t["source"]] = {"copies": int(m), "fraction": m - int(m), "documents": have[t["source"]]["documents"], "tokens": have[t["source"]]["tokens"]}
     return plan
 
 
-def mix_sources(df: DataFrame, targets: DataFrame, id_column: str = "doc_id", seed: int = 7, block: int = BLOCK, path: str | None = None) -> DataFrame:
-    """id, source, n_tokens, repeats (1 or more) of the documents in the mix.
-
-    Documents without tokens (null or empty text), of no source, or of a source without a target are in no mix. A
-    target whose source is absent, null, without share or without repeats gets nothing and the other shares are
-    scaled up; of several rows for one target the first by share and repeats counts. Other columns are not read.
-    """
+def planned_mix(df: DataFrame, targets: DataFrame, id_column: str = "doc_id", seed: int = 7, block: int = BLOCK, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The mix (see ``mix_sources``), and source, copies, fraction, documents, tokens of every source in it."""
     counted = token_counts(df.select(F.col(id_column).alias("__id"), "source", "text"), ["__id", "source"], path=path)
     counted = materialize(counted.where("n_tokens > 0 and source is not null"), "mix-sizes")
     limits = targets.where("source is not null").groupBy("source").agg(F.max(F.struct("target_share", "max_repeats")).alias("t")).select("source", "t.*")
     sizes = counted.join(limits, "source", "left_semi").groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
     plan = mix_plan([r.asDict() for r in sizes.collect()], [r.asDict() for r in limits.collect()])
-    rows = [(s, p["copies"], float(p["fraction"]), max(1, -(-p["documents"] // block))) for s, p in plan.items()]
-    copies = df.sparkSession.createDataFrame(rows, "source string, copies int, pi double, blocks int")
-    units = counted.join(copies, "source").withColumn("__block", F.pmod(F.xxhash64("__id", F.lit(seed)), "blocks").cast("int"))
+    rows = [(s, p["copies"], float(p["fraction"]), p["documents"], p["tokens"]) for s, p in plan.items()]
+    table = df.sparkSession.createDataFrame(rows, "source string, copies int, fraction double, documents bigint, tokens bigint")
+    units = counted.join(F.broadcast(table.select("source", "copies", F.col("fraction").alias("pi"))), "source").withColumn("__block", F.lit(0))
     columns = ["__id", "source", "n_tokens", "copies", "pi", "__block"]
     whole = units.where(f"pi <= {EPS} or pi >= {1 - EPS}").select(*columns)
     moving = units.where(f"pi > {EPS} and pi < {1 - EPS}").select(*columns)
-    out = whole.unionByName(_sample(moving, seed))
-    return out.select(F.col("__id").alias(id_column), "source", "n_tokens", (F.col("copies") + (F.col("pi") > 0.5).cast("int")).alias("repeats")).where("repeats > 0")
+    out = whole.unionByName(_sample(moving, seed, block))
+    return out.select(F.col("__id").alias(id_column), "source", "n_tokens", (F.col("copies") + (F.col("pi") > 0.5).cast("int")).alias("repeats")).where("repeats > 0"), table
+
+
+def mix_sources(df: DataFrame, targets: DataFrame, id_column: str = "doc_id", seed: int = 7, block: int = BLOCK, path: str | None = None) -> DataFrame:
+    """id, source, n_tokens, repeats (1 or more) of the documents in the mix.
+
+    Documents without tokens (null or empty text), of no source, or of a source without a target are in no mix. A
+    target whose source is absent, null, without share or without repeats gets nothing and the other shares are
+    scaled up; of several rows for one target the first by share and repeats counts. Other columns are not read.
+    """
+    return planned_mix(df, targets, id_column, seed, block, path)[0]
 
 
-def mix_shares(mix: DataFrame, targets: DataFrame) -> DataFrame:
-    """source, target_share, max_repeats, documents, uses, tokens, actual_share, most_repeats for every target row."""
+def mix_shares(mix: DataFrame, targets: DataFrame, plan: DataFrame) -> DataFrame:
+    """source, target_share, max_repeats, documents, uses, tokens, actual_share, most_repeats for every target row, and by how
+    many tokens and uses the sample misses what was planned (null for a source that is not in the mix)."""
     used = mix.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("repeats").alias("uses"), F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.max("repeats").alias("most_repeats"))
     total = used.agg(F.sum("tokens").alias("all_tokens"))
-    joined = targets.join(used, "source", "left").crossJoin(F.broadcast(total))  # one row
+    wanted = plan.select("source", ((F.col("copies") + F.col("fraction")) * F.col("tokens")).alias("w_tokens"), ((F.col("copies") + F.col("fraction")) * F.col("documents")).alias("w_uses"))
+    joined = targets.join(used, "source", "left").join(F.broadcast(wanted), "source", "left").crossJoin(F.broadcast(total))  # one row; one a target
     filled = {c: F.coalesce(c, F.lit(0)) for c in ("documents", "uses", "tokens", "most_repeats")}
     joined = joined.withColumns(filled)
-    return joined.select("source", "target_share", "max_repeats", "documents", "uses", "tokens", F.coalesce(F.col("tokens") / F.nullif("all_tokens", F.lit(0)), F.lit(0.0)).alias("actual_share"), "most_repeats")
+    share = F.coalesce(F.col("tokens") / F.nullif("all_tokens", F.lit(0)), F.lit(0.0)).alias("actual_share")
+    misses = [F.round(F.col("tokens") - F.col("w_tokens"), 3).alias("token_miss"), F.round(F.col("uses") - F.col("w_uses"), 3).alias("use_miss")]
+    return joined.select("source", "target_share", "max_repeats", "documents", "uses", "tokens", share, "most_repeats", *misses)

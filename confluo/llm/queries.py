@@ -51,7 +51,9 @@ def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_shares(materialize(p9_mix(spark, sf_dir), "mix"), table(spark, sf_dir, "mixture_targets"))
+    targets = table(spark, sf_dir, "mixture_targets")
+    mix, plan = mixing.planned_mix(table(spark, sf_dir, "documents"), targets)
+    return mixing.mix_shares(materialize(mix, "mix"), targets, plan)
 
 
 def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,19 +43,21 @@ def test_cube_flight_keeps_totals():
     moved = mixing.cube_flight(sizes, pi, rng, False)
     assert sum(1e-9 < p < 1 - 1e-9 for p in moved) <= 2
     assert abs(sum(s * p for s, p in zip(sizes, moved)) - 0.3 * sum(sizes)) < 1e-3 and abs(sum(moved) - 120) < 1e-6
-    taken = mixing.balanced_take([int(s) for s in sizes], 0.3, rng)
-    assert abs(sum(s for s, t in zip(sizes, taken) if t) - 0.3 * sum(sizes)) < 60
+    landed = mixing.cube_flight(sizes, moved, rng, True)
+    assert set(landed) <= {0.0, 1.0} and abs(sum(s * p for s, p in zip(sizes, landed)) - 0.3 * sum(sizes)) < 1000
 
 
 def test_mix_reaches_shares_within_repeats(spark):
     rng = random.Random(3)
     docs = [(i, " ".join(["word"] * rng.randint(1, 60)), "abc"[min(i % 7, 2)]) for i in range(1200)] + [(9001, None, "a"), (9002, "", "b"), (9003, "lost", None), (9004, "other", "zz")]
     targets = spark.createDataFrame([("a", 0.5, 3), ("b", 0.3, 2), ("c", 0.1, 1), ("gone", 0.1, 4)], "source string, target_share double, max_repeats int")
-    mix = mixing.mix_sources(spark.createDataFrame(docs, "doc_id long, text string, source string"), targets)
+    mix, plan = mixing.planned_mix(spark.createDataFrame(docs, "doc_id long, text string, source string"), targets, block=50)
     got = mix.collect()
     assert {r["doc_id"] for r in got}.isdisjoint({9001, 9002, 9003, 9004}) and len({r["doc_id"] for r in got}) == len(got)
     assert all(r["repeats"] <= {"a": 3, "b": 2, "c": 1}[r["source"]] for r in got)
-    shares = {r["source"]: r["actual_share"] for r in mixing.mix_shares(mix, targets).collect()}
+    report = mixing.mix_shares(mix, targets, plan).collect()
+    shares = {r["source"]: r["actual_share"] for r in report}
+    assert all(abs(r["token_miss"]) <= 2 * 61 and abs(r["use_miss"]) <= 2 for r in report if r["source"] != "gone")
     assert all(abs(shares[s] - w / 0.9) < 0.005 for s, w in (("a", 0.5), ("b", 0.3), ("c", 0.1))) and shares["gone"] == 0
     assert mixing.mix_sources(spark.createDataFrame([], "doc_id long, text string, source string"), targets).count() == 0
 
