@@ -110,4 +110,34 @@ reach(id, other) as (select a, b from links union select r.id, l.b from reach r
 select id as source_customer_id, least(id, min(other)) as cluster_id from reach group by id
 """
 
-ORACLE = {"p3_found": P3_FOUND, "p4_found": P4_FOUND}
+_FIELD_CELLS = "cross join (values ('company_name'), ('email'), ('phone'), ('address')) f(field_name)"
+_COUNTS = f"""v is not null and trim(v) <> '' and lower(trim(v)) not in ({_STAND_INS})
+   and (field_name <> 'email' or regexp_matches(trim(v), '^[^@\\s]*@[^@\\s]*\\.[^@\\s]*$'))
+   and (field_name <> 'phone' or (length(regexp_replace(v, '[^0-9]', '', 'g')) >= 7
+        and replace(regexp_replace(v, '[^0-9]', '', 'g'), left(regexp_replace(v, '[^0-9]', '', 'g'), 1), '') <> ''))"""
+
+P3_CURRENT = f"""
+with recursive cells as (
+  select source_customer_id, last_modified_timestamp, standardized_at, f.field_name,
+    case f.field_name when 'company_name' then company_name when 'email' then email when 'phone' then phone else address end v,
+    coalesce(is_deleted, false) gone,
+    row_number() over (partition by source_customer_id, f.field_name order by last_modified_timestamp desc nulls last, standardized_at desc nulls last) rn
+  from silver_customer {_FIELD_CELLS}),
+good as (select * exclude (v), lower(regexp_replace(trim(v), '\\s+', ' ', 'g')) v from cells where {_COUNTS}),
+members as (select distinct cluster_id, source_customer_id from customer_identity_map where is_current and cluster_id is not null),
+vals as (select cluster_id, field_name, v as "value", count(distinct source_customer_id) holders from members join good using (source_customer_id) where rn = 1 and not gone group by all),
+known as (select distinct cluster_id, field_name, v from members join good using (source_customer_id)),
+timed as (select source_customer_id, field_name, last_modified_timestamp t, v from (
+  select *, row_number() over (partition by source_customer_id, field_name, last_modified_timestamp order by standardized_at desc nulls last, v desc) k
+  from good where last_modified_timestamp is not null) where k = 1),
+steps as (select field_name, lag(v) over (partition by source_customer_id, field_name order by t) o, v n from timed),
+net as (select field_name, least(o, n) a, greatest(o, n) b, sum(case when o < n then 1 else -1 end) s from steps where o is not null and o <> n group by all having s <> 0),
+edges as (select field_name, case when s > 0 then a else b end o, case when s > 0 then b else a end n from net),
+own as (select k.cluster_id, e.field_name, e.o, e.n from edges e join known k on k.field_name = e.field_name and k.v = e.o join known l on l.cluster_id = k.cluster_id and l.field_name = e.field_name and l.v = e.n),
+ways as (select * from own union select w.cluster_id, w.field_name, w.o, e.n from ways w join own e on e.cluster_id = w.cluster_id and e.field_name = w.field_name and e.o = w.n),
+strict as (select * from ways w where not exists (select 1 from ways b where b.cluster_id = w.cluster_id and b.field_name = w.field_name and b.o = w.n and b.n = w.o)),
+late as (select s.cluster_id, s.field_name, s.o as "value", count(*) k from strict s join vals v on v.cluster_id = s.cluster_id and v.field_name = s.field_name and v."value" = s.n group by all)
+select cluster_id, field_name, "value", holders, coalesce(k, 0) as later, coalesce(k, 0) > 0 as replaced from vals left join late using (cluster_id, field_name, "value")
+"""
+
+ORACLE = {"p3_found": P3_FOUND, "p3_current": P3_CURRENT, "p4_found": P4_FOUND}

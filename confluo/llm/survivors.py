@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.history import latest_by
+from ..runtime import discard, materialize
 
 #: Texts that stand in for a missing value (compared in lower case without blanks around).
 STAND_INS = ("null", "tbd", "xxx", "x", "-", "--", ".", "?", "test", "not provided", "none", "n/a", "na", "unknown", "noemail", "no-reply", "@", "0")
@@ -62,16 +63,24 @@ def survivors(members: DataFrame, records: DataFrame, fields: Sequence[str] = FI
     return long.select("cluster_id", "s.*").where("source_customer_id is not null")
 
 
+def _normal(field: str) -> Column:
+    return F.lower(F.regexp_replace(F.trim(field), r"\s+", " "))
+
+
+def _cells(rows: DataFrame, keep: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """keep, field_name, v of every counting value."""
+    cells = F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(counts(f, F.col(f)), _normal(f)).alias("v")) for f in fields])
+    return rows.select(*keep, F.explode(cells).alias("p")).select(*keep, "p.field_name", "p.v").where("v is not null")
+
+
 def value_transitions(records: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
     """field_name, older, newer, support: value changes between consecutive timestamped rows of a record.
 
     support is how much more often older -> newer was seen than newer -> older; only positive ones are kept, so no two
     values precede each other. Values are compared in lower case without blanks around.
     """
-    norm = lambda f: F.lower(F.regexp_replace(F.trim(f), r"\s+", " "))
-    rows = records.where("last_modified_timestamp is not null").select("source_customer_id", "last_modified_timestamp", "standardized_at", *fields)
-    flat = rows.select("source_customer_id", "last_modified_timestamp", "standardized_at", F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(counts(f, F.col(f)), norm(F.col(f))).alias("v")) for f in fields])).alias("p"))
-    flat = flat.select("source_customer_id", "p.field_name", "p.v", "last_modified_timestamp", "standardized_at").where("v is not null")
+    timed = ["source_customer_id", "last_modified_timestamp", "standardized_at"]
+    flat = _cells(records.where("last_modified_timestamp is not null").select(*timed, *fields), timed, fields)
     # one row per record, field and time: repeated rows fall together before the window
     flat = flat.groupBy("source_customer_id", "field_name", "last_modified_timestamp").agg(F.max(F.struct("standardized_at", "v"))["v"].alias("newer"))
     over = Window.partitionBy("source_customer_id", "field_name").orderBy("last_modified_timestamp")
@@ -81,21 +90,45 @@ def value_transitions(records: DataFrame, fields: Sequence[str] = FIELDS) -> Dat
     return net.select("field_name", F.when(F.col("s") > 0, F.col("a")).otherwise(F.col("b")).alias("older"), F.when(F.col("s") > 0, F.col("b")).otherwise(F.col("a")).alias("newer"), F.abs("s").cast("bigint").alias("support"))
 
 
+def _closure(edges: DataFrame, max_rounds: int = 20) -> DataFrame:
+    """group, field_name, older, newer for every way along the edges of a group; each round doubles the length of the ways."""
+    key = ["cluster_id", "field_name"]
+    ways = materialize(edges.select(*key, "older", "newer").distinct(), "ways")
+    n = ways.count()
+    for _ in range(max_rounds):
+        on = ways.select(*key, F.col("older").alias("newer"), F.col("newer").alias("far"))
+        more = ways.unionByName(ways.join(on, [*key, "newer"]).select(*key, "older", F.col("far").alias("newer"))).distinct()
+        more = materialize(more, "ways")
+        discard(ways)
+        ways, before = more, n
+        n = ways.count()
+        if n == before:
+            return ways
+    raise RuntimeError("precedences did not settle")
+
+
 def current_values(members: DataFrame, records: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
-    """cluster_id, field_name, value, holders, replaced: every counting value of a group and whether another value of
-    the group replaced it. Values with replaced = false are the topologically latest; in a cycle all stay.
+    """cluster_id, field_name, value, holders, later, replaced: every counting value of a group's records, how many others of
+    them come strictly later in the group's partial order, and whether any does.
 
-    A row without timestamp takes part by its value alone. Same membership and deletion rules as ``survivors``.
+    The order of a group: a value that replaced another in any record precedes it, if both occur in some row of a
+    member; precedence is closed over all those values, so A < B < C holds also where no counting row has B. Values on a
+    cycle precede each other and none is strictly later. The values with replaced = false are the topologically latest,
+    also where rows have no timestamp. Records count by their counting row, deleted ones give nothing, as in ``survivors``.
     """
-    norm = lambda f: F.lower(F.regexp_replace(F.trim(f), r"\s+", " "))
     inside = members.where("is_current and cluster_id is not null and source_customer_id is not null").select("cluster_id", "source_customer_id").distinct()
-    own = records.join(inside.select("source_customer_id").distinct(), "source_customer_id", "left_semi")
-    rows = inside.join(own.where("not coalesce(is_deleted, false)"), "source_customer_id")
-    flat = rows.select("cluster_id", "source_customer_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(counts(f, F.col(f)), norm(F.col(f))).alias("v")) for f in fields])).alias("p"))
-    values = flat.where("p.v is not null").groupBy("cluster_id", F.col("p.field_name").alias("field_name"), F.col("p.v").alias("value")).agg(F.count_distinct("source_customer_id").alias("holders"))
-    edges = value_transitions(records, fields)
-    older = values.join(edges, (values.field_name == edges.field_name) & (values.value == edges.older)).select(values.cluster_id, values.field_name, "older", "newer")
-    beaten = older.alias("o").join(values.alias("v"), (F.col("o.cluster_id") == F.col("v.cluster_id")) & (F.col("o.field_name") == F.col("v.field_name")) & (F.col("o.newer") == F.col("v.value"))).select("o.cluster_id", "o.field_name", F.col("o.older").alias("value"), F.lit(True).alias("beaten")).distinct()
-    marked = values.join(beaten, ["cluster_id", "field_name", "value"], "left").withColumn("beaten", F.coalesce("beaten", F.lit(False)))
-    sinks = marked.groupBy("cluster_id", "field_name").agg(F.bool_or(~F.col("beaten")).alias("has_latest"))
-    return marked.join(sinks, ["cluster_id", "field_name"]).select("cluster_id", "field_name", "value", "holders", (F.col("beaten") & F.col("has_latest")).alias("replaced"))
+    needed = records.select("source_customer_id", "last_modified_timestamp", "standardized_at", "is_deleted", *fields)
+    own = needed.join(inside.select("source_customer_id").distinct(), "source_customer_id", "left_semi")
+    live = counting_rows(own).where("not coalesce(is_deleted, false)")
+    key = ["cluster_id", "field_name"]
+    values = _cells(inside.join(live, "source_customer_id"), ["cluster_id", "source_customer_id"], fields).groupBy(*key, F.col("v").alias("value")).agg(F.count_distinct("source_customer_id").alias("holders"))
+    values = materialize(values, "values")
+    known = materialize(_cells(inside.join(own, "source_customer_id"), ["cluster_id"], fields).distinct(), "known")
+    edges = value_transitions(records, fields).select("field_name", "older", "newer")
+    older = edges.join(known.withColumnRenamed("v", "older"), ["field_name", "older"])
+    ways = _closure(older.join(known.withColumnRenamed("v", "newer"), [*key, "newer"]))
+    back = ways.select(*key, F.col("newer").alias("older"), F.col("older").alias("newer"))
+    strict = ways.join(back, [*key, "older", "newer"], "left_anti")
+    later = strict.join(values.select(*key, F.col("value").alias("newer")), [*key, "newer"]).groupBy(*key, F.col("older").alias("value")).agg(F.count(F.lit(1)).alias("later"))
+    out = values.join(later, [*key, "value"], "left").withColumn("later", F.coalesce("later", F.lit(0)))
+    return out.select(*key, "value", "holders", "later", (F.col("later") > 0).alias("replaced"))

@@ -177,7 +177,16 @@ def test_currency(spark):
     r[2] = (*r[2][:12], None, T(1), False)
     m = spark.createDataFrame([("k", "a", True), ("k", "b", True)], "cluster_id string, source_customer_id string, is_current boolean")
     got = {x["value"]: (x["holders"], x["replaced"]) for x in survivors.current_values(m, spark.createDataFrame(r, RECORD)).collect()}
-    assert got == {"old name": (2, True), "new name": (1, False)}
+    assert got == {"old name": (1, True), "new name": (1, False)}  # by their counting rows
+
+
+def test_currency_is_closed_and_cycles_stay(spark):
+    r = [record("a", company="One", lm=T(1)), record("a", company="Two", lm=T(2)), record("a", company="Three", lm=T(3)), record("b", company="One", lm=T(1)), record("c", company="Two", lm=T(1), deleted=True)]
+    r += [record("d", email="p@x.example", lm=T(1)), record("d", email="q@x.example", lm=T(2)), record("e", email="q@x.example", lm=T(1)), record("e", email="r@x.example", lm=T(2)), record("f", email="r@x.example", lm=T(1)), record("f", email="p@x.example", lm=T(2))]
+    m = spark.createDataFrame([("k", x, True) for x in "abc"] + [("z", x, True) for x in "def"], "cluster_id string, source_customer_id string, is_current boolean")
+    got = {(x["cluster_id"], x["value"]): (x["holders"], x["later"], x["replaced"]) for x in survivors.current_values(m, spark.createDataFrame(r, RECORD)).collect()}
+    assert got == {("k", "one"): (1, 1, True), ("k", "three"): (1, 0, False), **{("z", f"{x}@x.example"): (1, 0, False) for x in "pqr"}}
+    assert survivors.current_values(m, spark.createDataFrame([], RECORD)).count() == 0
 
 
 # ---- p2
