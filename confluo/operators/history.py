@@ -2,7 +2,7 @@
 
 ``type_two_history`` folds captures into versions: a capture whose hash equals the open version's is swallowed,
 one that differs closes the open version and opens the next, a delete closes it and opens none.
-``merge_dimension`` brings late or new captures into an existing dimension by rebuilding the touched keys only.
+``merge_dimension`` brings a batch of new or late captures into an existing dimension, which may be empty.
 """
 
 from __future__ import annotations
@@ -86,18 +86,31 @@ def type_two_history(captures: DataFrame, keys: Sequence[str] = ("source_system"
 
 
 def merge_dimension(dimension: DataFrame, log: DataFrame, batch: DataFrame, keys: Sequence[str] = ("source_system", "source_customer_id")) -> DataFrame:
-    """The dimension after a batch of captures: versions of touched keys are rebuilt from log and batch, others kept.
+    """The dimension after a batch of captures: changed open versions are closed, new open versions inserted.
 
-    ``log`` holds the captures that made ``dimension``; it is needed because a late capture may fall between two
-    captures with equal hash, of which a dimension keeps one.
+    ``dimension``: keys, effective_from, effective_to, current_record_hash, as ``type_two_history`` gives it; ``log``: the
+    captures that made it. The captures of a key that are all later than its log are compared with its open version
+    alone. A key with a late capture is rebuilt from log and batch, because that capture may fall between two captures
+    with equal hash, of which a dimension keeps one. Untouched keys and closed versions are passed on as they are.
     """
     keys = list(keys)
-    touched = batch.select(*keys).distinct()
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
     needed = [*keys, "effective_from", "captured_at", "change_type", "current_record_hash"]
-    again = log.alias("a").join(touched.alias("t"), same, "left_semi").select(*[F.col(f"a.{c}").alias(c) for c in needed]).unionByName(batch.select(*needed))
-    kept = dimension.alias("a").join(touched.alias("t"), same, "left_anti")
-    return kept.unionByName(type_two_history(again, keys))
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    first = batch.where("effective_from is not null").groupBy(*keys).agg(F.min("effective_from").alias("__first"))
+    last = log.groupBy(*keys).agg(F.max("effective_from").alias("__last"))
+    touched = first.alias("f").join(last.alias("l"), same("f", "l"), "left").select("f.*", F.coalesce(F.col("__first") <= F.col("__last"), F.lit(False)).alias("__late"))
+    marked = dimension.alias("d").join(touched.alias("t"), same("d", "t"), "left").select("d.*", "t.__late")
+    kept = marked.where("__late is null or (not __late and effective_to is not null)").drop("__late")
+    open_ = marked.where("not __late and effective_to is null").withColumn("captured_at", F.lit(None).cast(batch.schema["captured_at"].dataType)).withColumn("change_type", F.lit("OPEN"))
+    again = log.alias("a").join(touched.where("__late").alias("t"), same("a", "t"), "left_semi").select(*[F.col(f"a.{c}").alias(c) for c in needed])
+    captures = batch.select(*needed).unionByName(open_.select(*needed)).unionByName(again)
+    return kept.unionByName(type_two_history(captures, keys))
+
+
+def empty_dimension(captures: DataFrame, keys: Sequence[str] = ("source_system", "source_customer_id")) -> DataFrame:
+    """No versions, in the form of ``merge_dimension``."""
+    moment = F.col("effective_from").alias("effective_to")
+    return captures.where(F.lit(False)).select(*keys, "effective_from", moment, "current_record_hash")
 
 
 def as_text(history: DataFrame, open_text: str = "open") -> DataFrame:
@@ -132,7 +145,7 @@ def snapshot_merge(dimension: DataFrame, snapshot: DataFrame, keys: Sequence[str
 
     ``dimension``: keys, check columns, row_hash, valid_from, valid_to.
     """
-    hash_of = F.sha2(F.concat_ws("||", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000null")) for c in check]), 256)
+    hash_of = F.sha2(F.to_json(F.struct(*check), {"ignoreNullFields": "false"}), 256)
     now = snapshot.select(*keys, *check).withColumn("row_hash", hash_of)
     history, current = dimension.where("valid_to is not null"), dimension.where("valid_to is null")
     d, n = current.alias("d"), now.alias("n")

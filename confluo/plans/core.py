@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import history, profile
-from ..runtime import table
+from ..runtime import materialize, table
 
 PROFILED = ("email", "phone", "industry")
 
@@ -21,10 +22,22 @@ def p6_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.as_text(history.type_two_history(table(spark, sf_dir, "silver_customer_change_history")))
+    """The whole log as one batch, merged into a dimension without versions."""
+    log = table(spark, sf_dir, "silver_customer_change_history")
+    return history.as_text(history.merge_dimension(history.empty_dimension(log), log.where(F.lit(False)), log))
 
 
-QUERIES = {"p6_found": p6_found, "p6_profile": p6_profile, "p7_found": p7_found}
+def p7_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history from two merges: the captures of the first half of the time of capture, then the rest, late ones among them."""
+    log = table(spark, sf_dir, "silver_customer_change_history")
+    half = log.agg(F.timestamp_micros(F.avg(F.unix_micros(F.col("captured_at").cast("timestamp"))).cast("bigint")).cast("timestamp_ntz").alias("half"))
+    marked = log.crossJoin(F.broadcast(half))  # one row
+    early = materialize(marked.where("captured_at <= half or half is null").drop("half"), "early")
+    dimension = materialize(history.merge_dimension(history.empty_dimension(log), early.where(F.lit(False)), early), "dimension")
+    return history.as_text(history.merge_dimension(dimension, early, marked.where("captured_at > half or (captured_at is null and half is not null)").drop("half")))
+
+
+QUERIES = {"p6_found": p6_found, "p6_profile": p6_profile, "p7_found": p7_found, "p7_batches": p7_batches}
 
 ORACLE = {
     "p7_found": """
@@ -41,3 +54,4 @@ select source_system, source_customer_id, strftime(effective_from, '%Y-%m-%d %H:
 from ended where not gone
 """,
 }
+ORACLE["p7_batches"] = ORACLE["p7_found"]
