@@ -120,6 +120,52 @@ def mask_address(value: Column, plain: Column) -> Column:
 
 
 def stable_id(prefix: str, members: Column, hex_digits: int = 24) -> Column:
-    """prefix and the start of a sha256 over sorted ``system:id`` members (array of structs)."""
-    text = F.array_join(F.transform(F.sort_array(members), lambda m: F.concat_ws(":", m[0], m[1])), "|")
+    """prefix and the start of a sha256 over sorted ``system:id`` members (array of source_system and source_customer_id)."""
+    text = F.array_join(F.transform(F.sort_array(members), lambda m: F.concat_ws(":", m["source_system"], m["source_customer_id"])), "|")
     return F.concat(F.lit(prefix), F.substring(F.sha2(text, 256), 1, hex_digits))
+
+
+def surrogate_key(*columns: str) -> Column:
+    """sha256 over the columns as text with || between, nulls marked."""
+    return F.sha2(F.concat_ws("||", *[F.coalesce(F.col(c).cast("string"), F.lit("__null__")) for c in columns]), 256)
+
+
+def certifications(value: Column) -> Column:
+    """The codes of a text: a JSON list, or a list with commas; trimmed, upper case, without blanks; never null."""
+    codes = F.coalesce(F.from_json(value, "array<string>"), F.when(~F.trim(value).startswith("{"), F.split(value, ",")))
+    kept = F.filter(F.transform(codes, lambda c: F.upper(F.trim(c))), lambda c: c != "")
+    return F.coalesce(kept, F.array().cast("array<string>"))
+
+
+def as_number(value: Column) -> Column:
+    """A number of a text, null where it is none."""
+    return F.trim(value).try_cast("double")
+
+
+def as_integer(value: Column) -> Column:
+    """The number truncated toward zero."""
+    return as_number(value).try_cast("bigint")
+
+
+def as_time(value: Column) -> Column:
+    """A timestamp of an ISO text: T or blank, Z or an offset, no zone is UTC; null where it is none."""
+    return F.trim(value).try_cast("timestamp")
+
+
+def day_of(value: Column) -> Column:
+    """The first ten characters of a time as text."""
+    return F.nullif(F.substring(F.trim(value.cast("string")), 1, 10), F.lit(""))
+
+
+def enabled_share(value: Column) -> Column:
+    """Share of the values of a JSON object or list that are set, of four digits; null if it is empty or neither.
+
+    Not set: false, 0, "", null and empty lists and objects; the text "false" is set.
+    """
+    unset = ("false", "0", "0.0", "-0.0", '""', "null", "[]", "{}")
+    parsed = F.try_parse_json(value)
+    as_map = F.try_variant_get(parsed, "$", "map<string,variant>")
+    as_list = F.try_variant_get(parsed, "$", "array<variant>")
+    cells = F.transform(F.coalesce(F.map_values(as_map), as_list), lambda v: F.coalesce(F.to_json(v), F.lit("null")))
+    share = F.size(F.filter(cells, lambda c: ~c.isin(*unset))) / F.nullif(F.size(cells), F.lit(0))
+    return F.round(share.cast("decimal(38,10)"), 4).cast("double")

@@ -33,6 +33,13 @@ def customer_issues() -> Column:
     return F.array_compact(F.array(*checks))
 
 
+def partner_issues() -> Column:
+    """As ``customer_issues``, for a partner."""
+    digits = F.length(F.regexp_replace("phone", "[^0-9]", ""))
+    required = [F.when(~present(c), f"{c}_required") for c in ("source_system", "partner_id", "company_name")]
+    return F.array_compact(F.array(*required, F.when(present("email") & ~F.col("email").rlike(text.EMAIL), "valid_email"), F.when(present("phone") & ~digits.between(7, 15), "w:phone_length")))
+
+
 def quality_score(complete: Column, issues: Column) -> Column:
     warnings = F.size(F.filter(issues, lambda x: x.startswith("w:")))
     errors = F.size(issues) - warnings

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import accounts, core, resolution, texts
+from . import accounts, core, resolution, silver, texts
 
-QUERIES = core.QUERIES | texts.QUERIES | resolution.QUERIES | accounts.QUERIES
-ORACLE = core.ORACLE | texts.ORACLE | resolution.ORACLE | accounts.ORACLE
+QUERIES = core.QUERIES | texts.QUERIES | silver.QUERIES | resolution.QUERIES | accounts.QUERIES
+ORACLE = core.ORACLE | texts.ORACLE | silver.ORACLE | resolution.ORACLE | accounts.ORACLE
