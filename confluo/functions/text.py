@@ -149,7 +149,8 @@ def as_integer(value: Column) -> Column:
 
 def as_time(value: Column) -> Column:
     """A timestamp of an ISO text: T or blank, Z or an offset, no zone is UTC; null where it is none."""
-    return F.trim(value).try_cast("timestamp")
+    text = F.trim(value)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]|$)"), text).try_cast("timestamp")
 
 
 def day_of(value: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores, text
-from ..runtime import materialize
+from ..runtime import discard, materialize
+from .history import latest_by
 
 #: Field weights and thresholds of the score, in the order of the blocking labels.
 WEIGHTS = {"email": 0.35, "phone": 0.25, "website_domain": 0.10, "company_name": 0.20, "address": 0.10}
@@ -23,12 +24,24 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select("source_system", F.col("source_customer_id").alias("id"), known(F.col("email")).alias("email"), phone.alias("phone"), text.website(F.col("website_domain")).alias("website_domain"), known(F.col("company_name")).alias("company_name"), known(F.col("address")).alias("address"))
 
 
-def candidate_pairs(rows: DataFrame) -> DataFrame:
-    """left, right of rows that share a value of any field, smaller id left, once: an OR-join as one equi-join on (field, value)."""
+#: Rows of a block from which on it is cut into parts, each pair of which is a task's work of its own.
+BLOCK_ROWS = 2000
+
+
+def candidate_pairs(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """left, right of rows that share a value of any field, smaller id left, once: an OR-join as one equi-join on (field, value).
+
+    All pairs of a block are the result asked for; a block of many rows is cut at random into parts of about
+    ``block_rows``, and every two parts meet under a key of their own, so no task gets a whole hot block.
+    """
     keys = F.array_compact(F.array(*[F.when(F.col(f).isNotNull(), F.concat(F.lit(f + "="), F.col(f))) for f in WEIGHTS]))
     blocks = rows.select("id", F.explode(keys).alias("key"))
-    left, right = blocks.select("key", F.col("id").alias("left")), blocks.select("key", F.col("id").alias("right"))
-    return left.join(right, "key").where("left < right").select("left", "right").distinct()
+    sizes = blocks.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    blocks = blocks.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    meets = lambda name: blocks.select("key", F.col("id").alias(name), F.col("part").alias(f"{name}_part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    left = meets("left").select("key", "left", F.col("left_part").alias("a"), F.col("other").alias("b"))
+    right = meets("right").select("key", "right", F.col("other").alias("a"), F.col("right_part").alias("b"))
+    return left.join(right, ["key", "a", "b"]).where("left < right").select("left", "right").distinct()
 
 
 def similarity(a: Column, b: Column, exact: bool) -> Column:
@@ -54,7 +67,10 @@ def pair_scores(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def groups(links: DataFrame, rounds: int = 40) -> DataFrame:
-    """id, root (least id of the group) of the vertices of ``links`` (left, right): least neighbours and pointer jumps until stable."""
+    """id, root (least id of the group) of the vertices of ``links`` (left, right): least neighbours and pointer jumps until stable.
+
+    A vertex has one root, so the skewed side of each join is the edges', which AQE splits; minima are combined before they move.
+    """
     both = materialize(links.select(F.col("left").alias("a"), F.col("right").alias("b")).unionByName(links.select(F.col("right").alias("a"), F.col("left").alias("b"))).distinct(), "links")
     roots = materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("root")), "roots")
     for _ in range(rounds):
@@ -63,19 +79,94 @@ def groups(links: DataFrame, rounds: int = 40) -> DataFrame:
         jump = lower.select(F.col("id").alias("new"), F.col("new").alias("far"))
         step = materialize(lower.join(jump, "new").select("id", F.col("root").alias("old"), F.least("new", "far").alias("root")), "roots")
         moved = step.where("old <> root").limit(1).count()
+        discard(roots)
         roots = step.select("id", "root")
         if not moved:
+            discard(both)
             return roots
     raise RuntimeError("groups did not settle")
 
 
-def golden_records(members: DataFrame, records: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """cluster_id, the surviving value of each field, first and last seen, members: all winners in one aggregation."""
-    live = records.where("not coalesce(is_deleted, false)")
-    j = members.select("cluster_id", "source_customer_id").distinct().join(live, "source_customer_id")
+def match_rows(scored: DataFrame, rows: DataFrame, model: str) -> DataFrame:
+    """Prediction rows of scored pairs: match_id over both members, systems and ids, scores, comparison vector as JSON text, rule, model."""
+    of = lambda s: rows.select(F.col("id").alias(s), F.col("source_system").alias(f"{s}_source_system"))
+    j = scored.join(of("left"), "left").join(of("right"), "right")
+    member = lambda s: F.struct(F.col(f"{s}_source_system").alias("source_system"), F.col(s).alias("source_customer_id"))
+    vector = F.to_json(F.struct(*[F.col(f).cast("decimal(10,8)").cast("string").alias(f) for f in WEIGHTS]), {"ignoreNullFields": "false"})
+    return j.select(
+        text.stable_id("match_", F.array(member("left"), member("right"))).alias("match_id"), "left_source_system", F.col("left").alias("left_source_customer_id"), "right_source_system", F.col("right").alias("right_source_customer_id"),
+        "match_probability", F.col("confidence").alias("confidence_score"), vector.alias("comparison_vector"), "blocking_rule", F.lit(model).alias("model_version"),
+    )
+
+
+def cluster_rows(scored: DataFrame, rows: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """Clusters of all rows, single ones included: stable ids over the members, the members themselves, representative (least
+    member), figures of the pairs within, distinct rules. A cluster of one has probability and confidence 1."""
+    linked = scored.where(F.col("match_probability") >= threshold)
+    roots = groups(linked.select("left", "right"))
+    of = rows.select("id", "source_system").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    of = materialize(of, "memberships")
+    member = F.struct("source_system", F.col("id").alias("source_customer_id"))
+    size = of.groupBy("root").agg(F.sort_array(F.collect_list(member)).alias("source_members"))
+    inside = linked.join(roots.select(F.col("id").alias("left"), "root"), "left").groupBy("root")
+    mean = lambda c: scores.r(F.sum(F.col(c).cast("decimal(18,8)")).cast("double") / F.count(c), 8)
+    figures = inside.agg(F.max("match_probability").alias("best"), mean("match_probability").alias("mean"), mean("confidence").alias("confidence"), F.array_sort(F.collect_set("blocking_rule")).alias("rules"))
+    ids = F.transform("source_members", lambda m: m["source_customer_id"])
+    one = lambda c: F.coalesce(c, F.lit(1.0))
+    return size.join(figures, "root", "left").select(
+        text.stable_id("cluster_", F.col("source_members")).alias("cluster_id"), text.stable_id("gold_", F.col("source_members")).alias("golden_customer_id"), F.size("source_members").alias("cluster_size"), "source_members", ids.alias("source_customer_ids"),
+        F.array_sort(F.array_distinct(F.transform("source_members", lambda m: m["source_system"]))).alias("source_systems"), F.col("source_members")[0]["source_system"].alias("representative_source_system"), F.col("source_members")[0]["source_customer_id"].alias("representative_source_customer_id"),
+        one("best").alias("max_match_probability"), one("mean").alias("avg_match_probability"), one("confidence").alias("confidence_score"), F.coalesce("rules", F.array().cast("array<string>")).alias("cluster_rules"),
+    )
+
+
+def identity_rows(clusters: DataFrame, records: DataFrame) -> DataFrame:
+    """One row a member of a cluster: its record id and whether it is the representative. Where a cluster names no members, its
+    ids belong to its only source system; with several systems they can't be told and give nothing."""
+    alone = F.when(F.size("source_systems") == 1, F.transform("source_customer_ids", lambda i: F.struct(F.col("source_systems")[0].alias("source_system"), i.alias("source_customer_id"))))
+    flat = clusters.select("golden_customer_id", "cluster_id", "representative_source_system", "representative_source_customer_id", F.col("confidence_score").alias("match_probability"), F.explode(F.coalesce("source_members", alone)).alias("m"))
+    flat = flat.select("*", "m.source_system", "m.source_customer_id").where("source_system is not null and source_customer_id is not null")
+    joined = flat.join(records.select("source_system", "source_customer_id", "source_record_id"), ["source_system", "source_customer_id"], "left")
+    primary = (F.col("source_system") == F.col("representative_source_system")) & (F.col("source_customer_id") == F.col("representative_source_customer_id"))
+    return joined.select("golden_customer_id", "cluster_id", "source_system", "source_customer_id", "source_record_id", "match_probability", primary.alias("is_primary_source")).distinct()
+
+
+def golden_records(members: DataFrame, records: DataFrame, fields: Sequence[str], clusters: DataFrame | None = None) -> DataFrame:
+    """One row a cluster: the surviving value of each field, its origin and confidence as JSON text, the primary record, first and
+    last seen, members, mean quality, completeness: all winners in one aggregation.
+
+    Members: cluster_id, source_system, source_customer_id, joined by both keys to the counting row of their record (the
+    latest); a record whose counting row is deleted gives nothing. Preferred: lowest priority (100 if null), highest quality and
+    completeness (0 if null), latest modification, for company and address the longest value, then system and id. Emails
+    and phones that aren't valid never win. ``clusters``: representative of a cluster, which is the primary record if it is a
+    member, and confidence_score.
+    """
+    keys = ["source_system", "source_customer_id"]
+    inside = members.select("cluster_id", *keys).distinct()
+    live = latest_by(records.join(inside.select(*keys).distinct(), keys, "left_semi"), keys, [F.col("last_modified_timestamp"), F.col("load_batch_id"), F.col("standardized_at")]).where("not coalesce(is_deleted, false)")
+    j = inside.join(live, keys)
+    none = F.lit(None).cast("string")
+    held = clusters.select("cluster_id", F.col("representative_source_system").alias("r_s"), F.col("representative_source_customer_id").alias("r_i"), "confidence_score") if clusters is not None else inside.select("cluster_id").distinct().select("cluster_id", none.alias("r_s"), none.alias("r_i"), F.lit(None).cast("double").alias("confidence_score"))
+    j = j.join(held, "cluster_id", "left")
     valid = {"email": F.col("email").rlike(text.EMAIL), "phone": F.length(F.regexp_replace("phone", "[^0-9]", "")) >= 7}
+    sound = valid | {"address": F.length("address") >= 8}
     late = F.unix_micros(F.col("last_modified_timestamp").cast("timestamp"))
-    order = [F.coalesce("source_priority", F.lit(100)).alias("p"), (-F.coalesce("data_quality_score", F.lit(0))).alias("q"), (-F.coalesce("completeness_score", F.lit(0))).alias("c"), late.isNull().alias("n"), (-late).alias("t"), F.col("source_system").alias("s"), F.col("source_customer_id").alias("i"), F.col("load_batch_id").alias("b")]
-    best = [F.min(F.when((F.trim(f) != "") & valid.get(f, F.lit(True)), F.struct(*order, F.col(f).alias("v")))).alias(f) for f in fields]
-    wide = j.groupBy("cluster_id").agg(*best, F.min("created_date").alias("first_seen"), F.max("last_modified_timestamp").alias("last_seen"), F.count_distinct("source_customer_id").alias("members"), F.round(F.avg(F.coalesce("data_quality_score", F.lit(0))), 4).cast("double").alias("quality"))
-    return wide.select("cluster_id", *[F.col(f)["v"].alias(f) for f in fields], "first_seen", "last_seen", "members", "quality")
+    quality, complete = F.coalesce("data_quality_score", F.lit(0)), F.coalesce("completeness_score", F.lit(0))
+    head = [F.coalesce("source_priority", F.lit(100)).alias("p"), (-quality).alias("q"), (-complete).alias("c"), late.isNull().alias("n"), (-late).alias("t")]
+    tail = [F.col("source_system").alias("s"), F.col("source_customer_id").alias("i")]
+
+    def won(field: str) -> Column:
+        sure = scores.r(F.least(F.lit(1.0), quality.cast("double") * 0.5 + complete.cast("double") * 0.3 + F.when(sound.get(field, F.lit(True)), 0.2).otherwise(0.1)))
+        longest = [(-F.length(field)).alias("l")] if field in ("company_name", "address") else []
+        return F.min(F.when((F.trim(field) != "") & valid.get(field, F.lit(True)), F.struct(*head, *longest, *tail, F.col(field).alias("v"), sure.alias("sure")))).alias(field)
+
+    first = F.coalesce((F.col("source_system") == F.col("r_s")) & (F.col("source_customer_id") == F.col("r_i")), F.lit(False))
+    primary = F.min(F.struct((~first).alias("r"), *head, *tail)).alias("primary")
+    wide = j.groupBy("cluster_id").agg(*[won(f) for f in fields], primary, F.min("created_date").alias("first_seen"), F.max("last_modified_timestamp").alias("last_seen"), F.count(F.lit(1)).alias("members"), scores.r(F.sum(quality.cast("decimal(18,4)")).cast("double") / F.count(F.lit(1))).alias("quality"), F.max("confidence_score").alias("confidence_score"))
+    origin = lambda f: F.struct(F.col(f)["s"].alias("source_system"), F.col(f)["i"].alias("source_customer_id"), F.col(f)["v"].alias("value"), F.col(f)["sure"].cast("decimal(5,4)").cast("string").alias("confidence")).alias(f)
+    full = sum((F.when(F.col(f).isNotNull(), 1).otherwise(0) for f in ("company_name", "email", "phone", "address") if f in fields), F.lit(0)) / 4
+    value = lambda f: F.regexp_replace(F.col(f)["v"], "[^0-9]", "") if f == "phone" else F.col(f)["v"]
+    return wide.select(
+        "cluster_id", *[value(f).alias(f) for f in fields], F.col("primary.s").alias("primary_source_system"), F.col("primary.i").alias("primary_source_customer_id"), "first_seen", "last_seen", "members", "quality",
+        scores.r(full).alias("completeness"), F.coalesce("confidence_score", F.lit(1.0)).alias("confidence_score"), F.to_json(F.struct(*[origin(f) for f in fields]), {"ignoreNullFields": "false"}).alias("survivorship"),
+    )
