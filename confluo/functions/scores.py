@@ -58,3 +58,23 @@ def support_activity(tickets: Column, satisfaction: Column, minutes: Column) ->
     happy = F.least(F.coalesce(satisfaction, F.lit(0)) / F.lit(5.0), F.lit(1.0)) * 0.4
     fast = F.greatest(F.lit(0.0), F.lit(1.0) - F.least(F.coalesce(minutes, F.lit(0)) / F.lit(1440.0), F.lit(1.0))) * 0.2
     return r(busy + happy + fast)
+
+
+def money(value: Column) -> Column:
+    """An amount on a logarithmic scale up to 100,000; nothing or less is 0."""
+    return r(F.when(value > 0, F.least(F.log1p(value) / F.log1p(F.lit(100000.0)), F.lit(1.0))).otherwise(0.0), 6)
+
+
+def status_risk(status: Column) -> Column:
+    """The risk of a renewal status, by the same groups as its chance; 0.5 where it is unknown."""
+    risks = {3: 0.05, 2: 0.40, 1: 0.75, 0: 1.00}
+    out = F.lit(0.50)
+    for rank, risk in risks.items():
+        out = F.when(status_word(status).isin(*[k for k, v in STATUS.items() if v[0] == rank]), risk).otherwise(out)
+    return F.coalesce(out, F.lit(0.50))
+
+
+def health_class(*candidates: Column) -> Column:
+    """The first of the texts that names a class, whatever its case, with _ or - for the blank."""
+    named = lambda c: F.translate(F.upper(F.trim(c)), "_-", "  ")
+    return F.coalesce(*[F.when(named(c) == name.upper(), name) for c in candidates for name in ("Healthy", "At Risk", "Churn Risk")])

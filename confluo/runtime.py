@@ -2,7 +2,7 @@
 
 Iterative operators cut their lineage by writing a table into the folder that the session names in
 ``spark.checkpoint.dir``; every executor can read it again, so a lost executor costs a re-read, not the run.
-Only where the setting is absent (tests, a laptop) a local temporary folder is used.
+Where the setting is absent a local temporary folder is used by a local master, and nothing else.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -53,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     held = spark.sparkContext.getCheckpointDir()
     if held:
         return held.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="confluo-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -75,6 +78,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fenced(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator of one element: expressions below are computed once a row, as neither projections
+    above are merged with them nor filters pushed through. Costs no write and no shuffle."""
+    cells = F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("__row")
+    return df.select(cells).select("__row.*")
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a DataFrame made by ``materialize``, once nothing reads it any more."""
     spark = df.sparkSession
