@@ -46,40 +46,43 @@ def quality_score(complete: Column, issues: Column) -> Column:
     return F.greatest(F.lit(0.0), F.round((complete - errors * 0.25 - warnings * 0.1).cast("decimal(38,10)"), 4).cast("double"))
 
 
-def rule_failures(df: DataFrame, rules: Sequence[dict]) -> DataFrame:
-    """rule_name, rule_type, severity, total, failed over all rules but uniqueness, in one pass.
+def rule_failures(df: DataFrame, rules: Sequence[dict], by: Sequence[str] = (), clock: Column | None = None) -> DataFrame:
+    """by, rule_name, rule_type, severity, mostly, total, failed over all rules but uniqueness, in one pass.
 
-    A rule: name, type (not_null, regex, in_set, between, pair_ge, row_count), severity and its arguments; ``mostly`` the
-    share that must pass. Null values pass unless the rule says ``nulls: False``.
+    A rule: name, type (not_null, regex, in_set, between, pair_ge, row_count, recent), severity and its arguments;
+    ``mostly`` the share that must pass. Null values pass unless the rule says ``nulls: False``. A rule of type recent fails
+    for all rows if the greatest time is more than ``hours`` before ``clock``, or if there is none.
     """
 
     def failed(rule: dict) -> Column:
         kind, c = rule["type"], rule.get("column")
+        n = F.count(F.lit(1))
         if kind == "row_count":
-            n = F.count(F.lit(1))
             return F.when(n.between(rule.get("min", 0), rule.get("max", 1 << 62)), 0).otherwise(n)
+        if kind == "recent":
+            return F.when(F.max(c) >= clock - F.expr(f"interval {int(rule['hours'])} hours"), 0).otherwise(n)
         if kind == "not_null":
             return F.count_if(~present(c))
         value = F.col(c)
         bad = {
             "regex": lambda: ~value.rlike(f"^(?:{rule['pattern']})"),
             "in_set": lambda: ~value.cast("string").isin(*rule["values"]),
-            "between": lambda: ~value.try_cast("double").between(rule["min"], rule["max"]),
+            "between": lambda: ~value.try_cast("double").between(rule.get("min", float("-inf")), rule.get("max", float("inf"))),
             "pair_ge": lambda: value < F.col(rule["other"]),
         }[kind]()
         return F.count_if(F.coalesce(bad, F.lit(not rule.get("nulls", True))))
 
-    one = df.agg(F.count(F.lit(1)).alias("total"), *[failed(x).alias(f"f{i}") for i, x in enumerate(rules)])
+    one = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), *[failed(x).alias(f"f{i}") for i, x in enumerate(rules)])
     rows = F.array(*[F.struct(F.lit(x["name"]).alias("rule_name"), F.lit(x["type"]).alias("rule_type"), F.lit(x.get("severity", "ERROR")).alias("severity"), F.lit(float(x.get("mostly", 1.0))).alias("mostly"), F.col(f"f{i}").cast("bigint").alias("failed")) for i, x in enumerate(rules)])
-    return one.select("total", F.explode(rows).alias("r")).select("r.rule_name", "r.rule_type", "r.severity", "r.mostly", "total", "r.failed")
+    return one.select(*by, "total", F.explode(rows).alias("r")).select(*by, "r.rule_name", "r.rule_type", "r.severity", "r.mostly", "total", "r.failed")
 
 
-def unique_failures(df: DataFrame, name: str, keys: Sequence[str], severity: str = "ERROR") -> DataFrame:
+def unique_failures(df: DataFrame, name: str, keys: Sequence[str], severity: str = "ERROR", by: Sequence[str] = (), mostly: float = 1.0) -> DataFrame:
     """As ``rule_failures``: rows in groups that share a key, compared in upper case without blanks around; nulls are equal."""
-    groups = df.groupBy(*[F.upper(F.trim(F.col(k).cast("string"))).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*by, *[F.upper(F.trim(F.col(k).cast("string"))).alias(f"__{k}") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
     kind = "unique" if len(keys) == 1 else "compound_unique"
-    return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed")).select(
-        F.lit(name).alias("rule_name"), F.lit(kind).alias("rule_type"), F.lit(severity).alias("severity"), F.lit(1.0).alias("mostly"), "total", "failed"
+    return groups.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed")).select(
+        *by, F.lit(name).alias("rule_name"), F.lit(kind).alias("rule_type"), F.lit(severity).alias("severity"), F.lit(mostly).alias("mostly"), "total", "failed"
     )
 
 

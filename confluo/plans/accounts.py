@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scores
 from ..functions.scores import clamp, r, weighted
-from ..runtime import fenced, table
+from ..operators import health_model
+from ..runtime import fenced, materialize, table
 
 AS_OF = "2001-08-01"
 _dec = lambda c: c.cast("decimal(18,4)")
@@ -169,6 +170,19 @@ def evaluated(pairs: DataFrame) -> DataFrame:
     return each.crossJoin(F.broadcast(whole)).select("label", "support", "predicted", "right", *[r(F.col(x), 6).alias(x) for x in ("precision", "recall", "f1", "accuracy", "macro_f1")])  # one row
 
 
+def health_model_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy and macro F1 of each trained candidate on the held-out accounts, and which was chosen."""
+    rows = materialize(health_features(spark, sf_dir), "features")
+    return health_model.choose(rows, FEATURES, "account", evaluated)[2]
+
+
+def health_scores_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every account's class and probabilities by the chosen model."""
+    rows = materialize(health_features(spark, sf_dir), "features")
+    best, model, _ = health_model.choose(rows, FEATURES, "account", evaluated)
+    return health_model.predict(model, rows, ["account"]).withColumn("model_algorithm", F.lit(best))
+
+
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = health_scores_rules(spark, sf_dir)
     cust = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -296,7 +310,7 @@ from (select {keys}, {', '.join(f'{v} as {n}' for v, n in zip(values, FEATURES))
 _K = "count(*) as accounts, count(*) filter (derived_class = 'Healthy') as healthy, count(*) filter (derived_class = 'At Risk') as at_risk, count(*) filter (derived_class = 'Churn Risk') as churn, " + ", ".join(f"{_r(_m(x))} as {x}" for x in ("engagement", "adoption", "support_health", "renewal")) + ", sum(lifetime_value::decimal(38,2))::double as lifetime_value"
 
 QUERIES = {
-    "silver_metric_daily": silver_metric_daily, "conservative_status": conservative_status, "enrichment_aggregate": enrichment_aggregate, "enrichment": enrichment, "enrichment_daily": enrichment_daily, "health_features": health_features, "class_probabilities": class_probabilities, "explicit_labels": explicit_labels, "evaluation": evaluation, "health_scores_rules": health_scores_rules,
+    "silver_metric_daily": silver_metric_daily, "conservative_status": conservative_status, "enrichment_aggregate": enrichment_aggregate, "enrichment": enrichment, "enrichment_daily": enrichment_daily, "health_features": health_features, "class_probabilities": class_probabilities, "explicit_labels": explicit_labels, "health_model_eval": health_model_eval, "health_scores_ml": health_scores_ml, "evaluation": evaluation, "health_scores_rules": health_scores_rules,
     "executive_kpis": executive_kpis, "segment_health": segment_health, "account_daily": account_daily, "churn_alerts": churn_alerts, "partner_performance": partner_performance,
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import scores
+from ..functions import scores, similarity
 from ..operators import history, resolution
 from ..runtime import materialize, table
 from .texts import _null, _phone, _space
@@ -28,6 +28,15 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.pair_scores(resolution.candidate_pairs(rows), rows)
 
 
+def pair_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair's names and emails by the three other comparisons: exact, edits, Jaro-Winkler, sequence ratio."""
+    rows = materialize(_rows(spark, sf_dir), "rows")
+    side = lambda s, key: rows.select(F.col("id").alias(key), F.col("company_name").alias(s + "n"), F.col("email").alias(s + "e"))
+    j = resolution.candidate_pairs(rows).join(side("l", "left"), "left").join(side("r", "right"), "right")
+    n, e = (F.col("ln"), F.col("rn")), (F.col("le"), F.col("re"))
+    return j.select("left", "right", similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), similarity.jaro_winkler(*n).alias("name_jaro_winkler"), similarity.sequence_ratio(*n).alias("name_ratio"))
+
+
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = pair_scores(spark, sf_dir).where("match_probability >= 0.95").select("left", "right")
     return resolution.groups(links)
@@ -201,7 +210,7 @@ clt as (select 'cluster_' || left(sha256(t), 24) as cluster_id, 'gold_' || left(
 
 QUERIES = {
     "match_predictions": match_predictions, "cluster_table": cluster_table, "cluster_rollup": cluster_rollup, "identity_rows": identity_rows, "dedupe_predictions": dedupe_predictions, "insert_only": insert_only,
-    "candidate_pairs": candidate_pairs, "pair_scores": pair_scores, "clusters": clusters, "duplicate_reduction": duplicate_reduction, "cluster_stats": cluster_stats, "identity_map": identity_map,
+    "candidate_pairs": candidate_pairs, "pair_similarities": pair_similarities, "pair_scores": pair_scores, "clusters": clusters, "duplicate_reduction": duplicate_reduction, "cluster_stats": cluster_stats, "identity_map": identity_map,
     "golden_master": golden_master, "change_history": change_history, "upsert_merge": upsert_merge, "upsert_hash_guard": upsert_hash_guard, "scd2_snapshot": scd2_snapshot,
 }
 

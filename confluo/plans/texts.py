@@ -9,6 +9,7 @@ from ..functions import text
 from ..operators import quality
 from ..operators.history import latest_by
 from ..runtime import table
+from ..sources import files
 
 
 def _null(x: str) -> str:
@@ -184,17 +185,36 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphan_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = table(spark, sf_dir, "customer_identity_map").select("cluster_id").distinct()
-    return members.join(table(spark, sf_dir, "customer_clusters"), "cluster_id", "left_anti")
+    """Children without a parent: ids of predictions that no customer record has, members without a cluster, accounts of events without a customer."""
+    part = lambda kind, child, parent: child.distinct().join(parent, "key", "left_anti").select(F.lit(kind).alias("kind"), "key")
+    p = table(spark, sf_dir, "customer_match_predictions")
+    named = p.select(F.explode(F.array("left_source_customer_id", "right_source_customer_id")).alias("key")).where("key is not null")
+    known = table(spark, sf_dir, "silver_customer").select(F.col("source_customer_id").alias("key"))
+    members = table(spark, sf_dir, "customer_identity_map").select(F.col("cluster_id").alias("key")).where("key is not null")
+    users = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"))
+    silent = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"))
+    return part("prediction", named, known).unionByName(part("member", members, table(spark, sf_dir, "customer_clusters").select(F.col("cluster_id").alias("key")))).unionByName(part("silent", silent, users))
 
 
 def checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An order-independent checksum per load: no row list is gathered, hashes are added up."""
+    """An order-independent checksum of all columns per load: no row list is gathered, 60 bits of each row's hash are added up as decimals."""
     df = table(spark, sf_dir, "silver_customer")
-    part = F.conv(F.substring(F.md5(F.concat_ws("|", F.coalesce("source_customer_id", F.lit("")), F.coalesce("record_hash", F.lit("")))), 1, 12), 16, 10).cast("decimal(38,0)")
+    kinds = dict(df.dtypes)
+    cell = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if kinds[c].startswith("timestamp") else F.col(c).cast("string")
+    row = F.to_json(F.struct(*[cell(c).alias(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    part = F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.groupBy("load_batch_id").agg(F.sum(part).cast("string").alias("checksum"), F.count(F.lit(1)).alias("n"))
 
 
+def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filtered read with a limit, the only limit there is: so many rows, whichever."""
+    rows = files.table_scan(table(spark, sf_dir, "silver_customer"), "source_system = 'MARKETO'", 25)
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.max("source_system").alias("source_system"))
+
+
+_COLUMNS = ("source_system source_customer_id source_record_id company_name company_name_normalized email email_domain phone address_line_1 address_line_2 city state_region postal_code country address website_domain industry "
+            "customer_status created_date last_modified_timestamp is_deleted source_priority completeness_score data_quality_score standardization_version record_hash load_batch_id standardized_at").split()
+_cell = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')" if c in ("created_date", "last_modified_timestamp", "standardized_at") else f"{c}::varchar"
 _SUITE = f"""
 with one as (select count(*) total from silver_customer),
 u1 as (select sum(n) total, coalesce(sum(n) filter (n > 1), 0) failed from (select count(*) n from silver_customer group by upper(trim(source_customer_id)))),
@@ -216,7 +236,7 @@ e as (select rule_name, rule_type, severity, total::bigint total, failed::bigint
 QUERIES = {k: _text_query(c, f) for k, (c, f, _) in TEXTS.items()} | {
     "text_combine_address": combine_address, "row_validation": row_validation, "batch_quality_report": batch_quality_report, "silver_dq_rules": silver_quality_by_source,
     "dedupe_latest": dedupe_latest, "silver_partner": silver_partner, "masked_view": masked_view, "suite_run": suite_run, "alerts": alerts, "rule_recent": rule_recent,
-    "duplicate_keys": duplicate_keys, "orphan_check": orphan_check, "checksum": checksum,
+    "duplicate_keys": duplicate_keys, "orphan_check": orphan_check, "checksum": checksum, "table_scan": table_scan,
 }
 
 ORACLE = {k: f"select source_customer_id, load_batch_id, {sql} as value from silver_customer" for k, (_, _, sql) in TEXTS.items()} | {
@@ -241,6 +261,8 @@ case when address is not null then 'REDACTED' end as address from silver_custome
     "alerts": _SUITE + "select rule_name, case when status = 'FAIL' then 'CRITICAL' else 'WARNING' end as alert_severity, 'OPEN' as alert_status, failed, score from e where status <> 'PASS'",
     "rule_recent": "select source_system, max(standardized_at) >= (select max(standardized_at) from silver_customer) - interval 24 hours as recent from silver_customer group by 1",
     "duplicate_keys": "select source_system, source_customer_id, count(*) as n from silver_customer where not coalesce(is_deleted, false) group by 1, 2 having count(*) > 1",
-    "orphan_check": "select distinct cluster_id from customer_identity_map where cluster_id not in (select cluster_id from customer_clusters)",
-    "checksum": "select load_batch_id, cast(sum(('0x' || substring(md5(concat_ws('|', coalesce(source_customer_id, ''), coalesce(record_hash, ''))), 1, 12))::hugeint) as varchar) as checksum, count(*) as n from silver_customer group by 1",
+    "orphan_check": """select 'prediction' as kind, k as "key" from (select left_source_customer_id k from customer_match_predictions union select right_source_customer_id from customer_match_predictions) where k is not null and k not in (select source_customer_id from silver_customer where source_customer_id is not null)
+union all select distinct 'member', cluster_id from customer_identity_map where cluster_id is not null and cluster_id not in (select cluster_id from customer_clusters) union all select distinct 'silent', c_custkey::varchar from customer where c_custkey not in (select user_id from events)""",
+    "checksum": "select load_batch_id, cast(sum(('0x' || left(sha256(to_json({" + ", ".join(f"'{c}': {_cell(c)}" for c in sorted(_COLUMNS)) + "})::varchar), 15))::hugeint) as varchar) as checksum, count(*) as n from silver_customer group by 1",
+    "table_scan": "select least(count(*), 25) as n, max(source_system) as source_system from silver_customer where source_system = 'MARKETO'",
 }

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 
 def csv_scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None, delimiter: str = ",", encoding: str = "UTF-8", warehouse: bool = False) -> DataFrame:
-    """All values as strings; a file, folder or glob. ``warehouse``: blanks trimmed, empty, NULL and null as null."""
+    """All values as strings; a file, folder or glob. ``warehouse``: values may be enclosed in quotes and hold line ends, blanks
+    are trimmed, empty, NULL and null are null, and a row with too few values is filled, one with too many cut."""
     reader = spark.read.option("header", True).option("sep", delimiter).option("encoding", encoding).option("mode", "PERMISSIVE")
     if warehouse:
-        reader = reader.option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+        reader = reader.option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("quote", '"').option("escape", '"').option("multiLine", True)
     if columns:
         reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
     df = reader.csv(path)
@@ -31,6 +32,16 @@ def parquet_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_scan(df: DataFrame, where: str | None = None, limit: int | None = None) -> DataFrame:
+    """The rows of a table that meet a condition, at most ``limit`` of them, which must be positive."""
+    out = df.where(where) if where else df
+    if limit is None:
+        return out
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    return out.limit(limit)
+
+
 def newer_than(mark_column: str, since: str | None) -> Column:
     """True for rows to load: no mark yet, no value, or a text after the mark. An empty text is a value."""
     if since is None:
