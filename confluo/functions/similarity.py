@@ -37,8 +37,10 @@ def _jaro_winkler(a: str, b: str) -> float:
     n = len(left)
     if not n:
         return 0.0
-    turned = sum(x != y for x, y in zip(left, (y for y, f in zip(b, free) if not f))) / 2
+    turned = sum(x != y for x, y in zip(left, (y for y, f in zip(b, free) if not f))) // 2
     jaro = (n / len(a) + n / len(b) + (n - turned) / n) / 3
+    if jaro <= 0.7:
+        return jaro
     head = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4])) if x != y), min(len(a), len(b), 4))
     return jaro + head * 0.1 * (1 - jaro)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import accounts, core, marts, resolution, silver, texts
+from . import accounts, core, marts, operations, resolution, silver, texts
 
-QUERIES = core.QUERIES | texts.QUERIES | silver.QUERIES | resolution.QUERIES | accounts.QUERIES | marts.QUERIES
-ORACLE = core.ORACLE | texts.ORACLE | silver.ORACLE | resolution.ORACLE | accounts.ORACLE | marts.ORACLE
+QUERIES = core.QUERIES | texts.QUERIES | silver.QUERIES | resolution.QUERIES | accounts.QUERIES | marts.QUERIES | operations.QUERIES
+ORACLE = core.ORACLE | texts.ORACLE | silver.ORACLE | resolution.ORACLE | accounts.ORACLE | marts.ORACLE | operations.ORACLE

@@ -28,13 +28,21 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.pair_scores(resolution.candidate_pairs(rows), rows)
 
 
-def pair_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every candidate pair's names and emails by the three other comparisons: exact, edits, Jaro-Winkler, sequence ratio."""
+def _named_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(_rows(spark, sf_dir), "rows")
     side = lambda s, key: rows.select(F.col("id").alias(key), F.col("company_name").alias(s + "n"), F.col("email").alias(s + "e"))
-    j = resolution.candidate_pairs(rows).join(side("l", "left"), "left").join(side("r", "right"), "right")
+    return resolution.candidate_pairs(rows).join(side("l", "left"), "left").join(side("r", "right"), "right")
+
+
+def pair_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair's emails by equality, names by edits and by Jaro-Winkler."""
     n, e = (F.col("ln"), F.col("rn")), (F.col("le"), F.col("re"))
-    return j.select("left", "right", similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), similarity.jaro_winkler(*n).alias("name_jaro_winkler"), similarity.sequence_ratio(*n).alias("name_ratio"))
+    return _named_pairs(spark, sf_dir).select("left", "right", similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), F.round(similarity.jaro_winkler(*n), 6).alias("name_jaro_winkler"))
+
+
+def pair_seq_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair's names by the ratio of their longest common blocks."""
+    return _named_pairs(spark, sf_dir).select("left", "right", similarity.sequence_ratio("ln", "rn").alias("name_ratio"))
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +218,7 @@ clt as (select 'cluster_' || left(sha256(t), 24) as cluster_id, 'gold_' || left(
 
 QUERIES = {
     "match_predictions": match_predictions, "cluster_table": cluster_table, "cluster_rollup": cluster_rollup, "identity_rows": identity_rows, "dedupe_predictions": dedupe_predictions, "insert_only": insert_only,
-    "candidate_pairs": candidate_pairs, "pair_similarities": pair_similarities, "pair_scores": pair_scores, "clusters": clusters, "duplicate_reduction": duplicate_reduction, "cluster_stats": cluster_stats, "identity_map": identity_map,
+    "candidate_pairs": candidate_pairs, "pair_similarities": pair_similarities, "pair_seq_ratio": pair_seq_ratio, "pair_scores": pair_scores, "clusters": clusters, "duplicate_reduction": duplicate_reduction, "cluster_stats": cluster_stats, "identity_map": identity_map,
     "golden_master": golden_master, "change_history": change_history, "upsert_merge": upsert_merge, "upsert_hash_guard": upsert_hash_guard, "scd2_snapshot": scd2_snapshot,
 }
 
@@ -238,6 +246,8 @@ from base left join cl c using (cluster_id) left join pr on pr.cluster_id = base
     "scd2_snapshot": _STATES + """
 select o.source_customer_id, o.email, 't1' as valid_from, case when n.source_customer_id is null or o.email is distinct from n.email then 't2' end as valid_to from old o left join now n using (source_customer_id)
 union all select n.source_customer_id, n.email, 't2', null from now n left join old o using (source_customer_id) where o.source_customer_id is null or o.email is distinct from n.email""",
+    "pair_similarities": _ROWS + f"""select p."left", p."right", case when l.email is null or r.email is null then null when l.email = r.email then 1.0 else 0.0 end::double as email_exact, ({_sim('company_name', False)})::double as name_edits,
+  round(jaro_winkler_similarity({_bytes('l.company_name')}, {_bytes('r.company_name')}), 6) as name_jaro_winkler from pairs p join rows_ l on l.id = p."left" join rows_ r on r.id = p."right" """,
     "match_predictions": _SCORES.replace("select source_customer_id as id,", "select source_system, source_customer_id as id,") + """
 select 'match_' || left(sha256(case when (l.source_system, l.id) <= (r.source_system, r.id) then l.source_system || ':' || l.id || '|' || r.source_system || ':' || r.id else r.source_system || ':' || r.id || '|' || l.source_system || ':' || l.id end), 24) as match_id,
   l.source_system as left_source_system, l.id as left_source_customer_id, r.source_system as right_source_system, r.id as right_source_customer_id, match_probability, confidence as confidence_score,
