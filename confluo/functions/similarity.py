@@ -20,7 +20,7 @@ def edit_share(a: Column, b: Column) -> Column:
     """1 less the edits by the longer text's length; two empty texts are equal."""
     longest = F.greatest(F.length(a), F.length(b))
     close = F.greatest(F.lit(0.0), F.lit(1.0) - F.levenshtein(a, b) / F.nullif(longest, F.lit(0)))
-    return F.when(a.isNull() | b.isNull(), None).otherwise(r(F.coalesce(close, F.lit(1.0)), 8))
+    return F.when(a.isNull() | b.isNull(), None).otherwise(F.when(longest == 0, 1.0).otherwise(r(close, 8)))
 
 
 def _jaro_winkler(a: str, b: str) -> float:

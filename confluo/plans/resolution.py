@@ -37,7 +37,7 @@ def _named_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pair_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate pair's emails by equality, names by edits and by Jaro-Winkler."""
     n, e = (F.col("ln"), F.col("rn")), (F.col("le"), F.col("re"))
-    return _named_pairs(spark, sf_dir).select("left", "right", similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), F.round(similarity.jaro_winkler(*n), 6).alias("name_jaro_winkler"))
+    return _named_pairs(spark, sf_dir).select("left", "right", similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), scores.r(similarity.jaro_winkler(*n), 4).alias("name_jaro_winkler"))
 
 
 def pair_seq_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +247,7 @@ from base left join cl c using (cluster_id) left join pr on pr.cluster_id = base
 select o.source_customer_id, o.email, 't1' as valid_from, case when n.source_customer_id is null or o.email is distinct from n.email then 't2' end as valid_to from old o left join now n using (source_customer_id)
 union all select n.source_customer_id, n.email, 't2', null from now n left join old o using (source_customer_id) where o.source_customer_id is null or o.email is distinct from n.email""",
     "pair_similarities": _ROWS + f"""select p."left", p."right", case when l.email is null or r.email is null then null when l.email = r.email then 1.0 else 0.0 end::double as email_exact, ({_sim('company_name', False)})::double as name_edits,
-  round(jaro_winkler_similarity({_bytes('l.company_name')}, {_bytes('r.company_name')}), 6) as name_jaro_winkler from pairs p join rows_ l on l.id = p."left" join rows_ r on r.id = p."right" """,
+  round(cast(round(jaro_winkler_similarity({_bytes('l.company_name')}, {_bytes('r.company_name')}), 8) as decimal(38,10)), 4)::double as name_jaro_winkler from pairs p join rows_ l on l.id = p."left" join rows_ r on r.id = p."right" """,
     "match_predictions": _SCORES.replace("select source_customer_id as id,", "select source_system, source_customer_id as id,") + """
 select 'match_' || left(sha256(case when (l.source_system, l.id) <= (r.source_system, r.id) then l.source_system || ':' || l.id || '|' || r.source_system || ':' || r.id else r.source_system || ':' || r.id || '|' || l.source_system || ':' || l.id end), 24) as match_id,
   l.source_system as left_source_system, l.id as left_source_customer_id, r.source_system as right_source_system, r.id as right_source_customer_id, match_probability, confidence as confidence_score,

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import importlib
 import json
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader
@@ -44,19 +47,41 @@ def pages(fetch: Callable[[dict], tuple[int, dict]], options: dict) -> Iterator[
         params["cursor"] = cursor
 
 
+def http(options: dict) -> Callable[[dict], tuple[int, dict]]:
+    """A fetch over HTTP: options url, method (GET with parameters in the address, POST with them as a JSON body), token (sent as bearer), timeout."""
+    url, method = options["url"], options.get("method", "GET").upper()
+
+    def fetch(params: dict) -> tuple[int, dict]:
+        given = {k: v for k, v in params.items() if v is not None}
+        address = url + ("&" if "?" in url else "?") + urllib.parse.urlencode(given) if method == "GET" and given else url
+        request = urllib.request.Request(address, method=method, data=json.dumps(given).encode() if method == "POST" else None, headers={"Accept": "application/json", "Content-Type": "application/json"})
+        if options.get("token"):
+            request.add_header("Authorization", f"Bearer {options['token']}")
+        try:
+            with urllib.request.urlopen(request, timeout=float(options.get("timeout", 60))) as answer:
+                return answer.status, json.load(answer)
+        except urllib.error.HTTPError as e:
+            return e.code, {}
+
+    return fetch
+
+
 class PagedApiReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options = options
 
     def read(self, partition) -> Iterator[tuple]:
-        module, _, name = self.options["fetch"].partition(":")
-        fetch = getattr(importlib.import_module(module), name)
+        if "fetch" in self.options:
+            module, _, name = self.options["fetch"].partition(":")
+            fetch = getattr(importlib.import_module(module), name)
+        else:
+            fetch = http(self.options)
         for record in pages(fetch, self.options):
             yield (json.dumps(record, sort_keys=True),)
 
 
 class PagedApi(DataSource):
-    """Options: fetch (``module:function`` taking parameters, giving status and payload), paging, page_size, records_path, since."""
+    """Options: url, method, token, or fetch (``module:function`` taking parameters, giving status and payload); paging, page_size, records_path, since."""
 
     @classmethod
     def name(cls) -> str:

@@ -10,7 +10,7 @@ from confluo.functions import text
 from confluo.operators import history, profile, quality, resolution
 from confluo.plans import registry
 from confluo.sources import api, files
-from confluo.streaming.incremental import upsert_new_files
+from confluo.streaming.incremental import read_table, upsert_new_files
 
 T = lambda *a: dt.datetime(2025, 1, *a)
 CAPTURES = "source_system string, source_customer_id string, change_type string, current_record_hash string, effective_from timestamp_ntz, captured_at timestamp_ntz, effective_to string"
@@ -33,6 +33,13 @@ def test_history_folds_captures(spark):
     assert history.type_two_history(df.limit(0)).count() == 0
 
 
+def test_a_row_hash_tells_values_apart(spark):
+    schema = "k int, a string, b string, row_hash string, valid_from string, valid_to string"
+    one = history.snapshot_merge(spark.createDataFrame([], schema), spark.createDataFrame([(1, "a||b", "c")], "k int, a string, b string"), ["k"], ["a", "b"], F.lit("t1"))
+    two = history.snapshot_merge(one, spark.createDataFrame([(1, "a", "b||c")], "k int, a string, b string"), ["k"], ["a", "b"], F.lit("t2"))
+    assert rows(two.select("k", "a", "valid_to")) == Counter([(1, "a||b", "t2"), (1, "a", None)])
+
+
 def test_merging_batches_equals_the_whole(spark):
     import random
 
@@ -126,18 +133,22 @@ def test_paged_api(spark):
 def test_stream_upserts_new_files(spark, tmp_path):
     folder, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
     schema = "k int, v string, at int"
-    spark.createDataFrame([(1, "a", 1), (1, "b", 2)], schema).write.parquet(folder)
-    upsert_new_files(spark, folder, schema, target, check, ["k"], ["at"])
-    spark.createDataFrame([(1, "c", 3), (2, "d", 1)], schema).write.mode("append").parquet(folder)
-    upsert_new_files(spark, folder, schema, target, check, ["k"], ["at"])
-    assert rows(spark.read.parquet(f"{target}/v=1")) == Counter([(1, "c", 3), (2, "d", 1)])
+    run = lambda: upsert_new_files(spark, folder, schema, target, check, ["k"], ["at"], buckets=4)
+    spark.createDataFrame([(1, "a", 1), (1, "b", 2), (5, "e", 5)], schema).write.parquet(folder)
+    run()
+    spark.createDataFrame([(1, "c", 3), (2, "d", 1), (5, "late", 4)], schema).write.mode("append").parquet(folder)
+    run()
+    spark.createDataFrame([(1, "late", 2)], schema).write.mode("append").parquet(folder)
+    run()
+    run()
+    assert rows(read_table(spark, target).select("k", "v", "at")) == Counter([(1, "c", 3), (2, "d", 1), (5, "e", 5)])
 
 
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["p7_found", "text_company_key", "row_validation", "suite_run", "pair_scores", "golden_master", "scd2_snapshot", "enrichment", "segment_health"])
+@pytest.mark.parametrize("name", ["p7_found", "text_company_key", "row_validation", "suite_run", "pair_scores", "golden_master", "scd2_snapshot", "enrichment", "segment_health", "p7_batches", "silver_customer", "silver_increment", "bronze_models", "match_predictions", "cluster_table", "identity_rows", "health_features", "evaluation", "drilldown", "executive_daily", "daily_alerts", "suite_runs", "run_summary", "dq_dashboard", "ingest_results", "audit_log", "checksum", "orphan_check", "feature_utilization"])
 def test_queries_equal_sql(spark, name):
     con = duckdb.connect()
     for f in os.listdir(SF):
