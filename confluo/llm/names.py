@@ -62,6 +62,14 @@ def edits(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+def swapped(a: str, b: str) -> bool:
+    """Whether the two differ by one swap of neighbours."""
+    if len(a) != len(b):
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :] and i + 1 < len(a)
+
+
 def _skeleton(word: str) -> str:
     return word[0] + regex.sub(r"[aeiouy]", "", word[1:])
 
@@ -247,10 +255,13 @@ def trie_join(queries: DataFrame, index: DataFrame, most: int = 2, shard_rows: i
     by_most = F.when(F.length("word") >= long - most, F.array(*_segment_shards("word", most))).otherwise(none)
     by_few = F.when(F.length("word") <= long - 1 + few, F.array(*_segment_shards("word", few))).otherwise(none)
     w = _exploded(w, "word", F.concat(by_most, by_few))
-    parts = lambda df, name: df.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias(name))
-    sizes = parts(w, "parts").join(parts(q, "q_parts"), "shard")
-    tries = w.join(sizes, "shard").groupBy("shard", F.pmod(F.xxhash64("word"), "parts").alias("part")).agg(F.collect_list("word").alias("words"))
-    asked = q.join(sizes, "shard").groupBy("shard", F.pmod(F.xxhash64("query"), "q_parts").alias("q_part")).agg(F.collect_list("query").alias("queries"))
+    parts = F.ceil(F.count(F.lit(1)) / shard_rows).cast("int")
+    held = w.groupBy("shard").agg(parts.alias("parts"))
+    # written once, as it is read twice: the shards asked for that there are
+    hits = materialize(q.join(held.hint("shuffle_hash"), "shard"), "hits")  # a shard is one row of the built side
+    sizes = hits.groupBy("shard").agg(F.max("parts").alias("parts"), parts.alias("q_parts"))
+    tries = w.join(sizes.hint("shuffle_hash"), "shard").groupBy("shard", F.pmod(F.xxhash64("word"), "parts").alias("part")).agg(F.collect_list("word").alias("words"))
+    asked = hits.select("shard", "query").join(sizes.hint("shuffle_hash"), "shard").groupBy("shard", F.pmod(F.xxhash64("query"), "q_parts").alias("q_part")).agg(F.collect_list("query").alias("queries"))
     # few bytes, much work: spread evenly, as no coalescing by size would
     pairs = asked.join(tries, "shard").select("shard", "words", "queries").repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -259,7 +270,7 @@ def trie_join(queries: DataFrame, index: DataFrame, most: int = 2, shard_rows: i
             qs, ws, ds = [], [], []
             for shard, words, asked_ in zip(*(c.to_pylist() for c in batch.columns)):
                 for query, word, d in _in_shard(shard, words, asked_):
-                    qs.append(query), ws.append(word), ds.append(edits(query, word, most) if swaps else d)
+                    qs.append(query), ws.append(word), ds.append(1 if swaps and d == 2 and swapped(query, word) else d)
             yield pa.RecordBatch.from_arrays([pa.array(qs, pa.string()), pa.array(ws, pa.string()), pa.array(ds, pa.int32())], names=["query", "word", "edits"])
 
     return pairs.mapInArrow(run, "query string, word string, edits int").groupBy("query", "word").agg(F.min("edits").alias("edits"))
