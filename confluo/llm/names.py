@@ -330,10 +330,9 @@ def respelled(parsed: DataFrame) -> DataFrame:
     names = materialize(parsed.groupBy("name").agg(F.count(F.lit(1)).alias("n")), "distinct-names")
     tokens = names.select(F.explode(F.split("name", " ")).alias("token"), "n").where("length(token) >= 5")
     tokens = materialize(tokens.groupBy("token").agg(F.sum("n").alias("n")), "tokens")
-    cells = names.select("name", F.posexplode(F.split("name", " ")).alias("at", "token")).join(token_rewrites(tokens), "token", "left")
-    own = F.array_sort(F.collect_list(F.struct("at", F.coalesce("right", "token").alias("t"))))["t"]
-    touched = cells.groupBy("name").agg(F.bool_or(F.col("right").isNotNull()).alias("touched"), own.alias("own")).where("touched").select("name", "own")
-    own = F.coalesce("own", F.split("name", " "))
+    cells = names.select("name", F.explode(F.array_distinct(F.split("name", " "))).alias("token")).where("length(token) >= 5")
+    touched = cells.join(token_rewrites(tokens), "token").groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("token", "right"))).alias("rights"))
+    own = F.transform(F.split("name", " "), lambda t: F.coalesce(F.col("rights")[t], t))
     out = materialize(parsed.join(touched, "name", "left").select("id", F.array_join(own, "").alias("word"), orders(own).alias("turns"), "sector"), "names")
     discard(names)
     discard(tokens)
@@ -358,15 +357,12 @@ def same_organisation(records: DataFrame, partners: DataFrame) -> DataFrame:
     named = respelled(parsed)
     words = materialize(word_counts(named), "words")
     partner = F.col("id").startswith("p")
-    # first the partners' neighbours, then the neighbours of the spellings found, for a misspelt partner has the right name between
     seeds = words.join(named.where(partner).select("word").distinct(), "word", "left_semi")
-    first = materialize(neighbours(words, seeds, words, 2), "near")
-    again = words.join(first.select(F.col("other").alias("word")).distinct(), "word", "left_semi").join(seeds.select("word"), "word", "left_anti")
-    near = materialize(first.unionByName(neighbours(words, again, words, 2)), "near")
+    near = materialize(neighbours(words, seeds, words, 2), "near")
     canon = canonical_words(words, near)
     side = lambda keep, name, sector: named.where(keep).join(canon, "word").select(F.substr("id", F.lit(2)).alias(name), "canon", F.col("sector").alias(sector))
     found = materialize(side(~partner, "source_customer_id", "c_sector").join(side(partner, "partner_id", "p_sector"), "canon"), "found")
     agree = (F.col("c_sector") == F.col("p_sector")) | (F.col("c_sector") == "") | (F.col("p_sector") == "")
-    for used in (parsed, named, words, first, near):
+    for used in (parsed, named, words, near):
         discard(used)
     return found.where(agree).select("source_customer_id", "partner_id")
