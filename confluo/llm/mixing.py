@@ -3,11 +3,12 @@
 The size of the mix is the largest at which every present source reaches its share with no document used more
 than the source's ``max_repeats`` times. A source then needs m = target tokens / own tokens copies of a document on
 average: floor(m) of each, and one more of a sample with inclusion probability m - floor(m). The sample is drawn by
-the cube method, balanced on tokens and documents: in blocks of about ``BLOCK`` documents probabilities move along
-the null space of the constraints until at most two are fractional. The fractional documents of all blocks fly on
-together, again in blocks, until a source has at most a block of them; their last flight ends with the one landing, in
-which the constraints are dropped one by one. Probabilities keep their expectation throughout, a source misses its
-totals by what two documents can make, and no task holds more than a block of sizes.
+the cube method, balanced on tokens and documents: in blocks of about ``BLOCK`` documents, and there among documents
+of about one size, probabilities move along the null space of the constraints until at most two of a size are
+fractional. The fractional documents of all blocks fly on together, again in blocks, until a source has at most a block
+of them. Then they land, the largest first: constraints are dropped one by one, and what a size misses is asked of the
+next smaller one. A miss has expectation zero, so probabilities keep theirs, and what is missed in the end is of the order
+of the smallest documents. No task holds more than a block of sizes.
 """
 
 from __future__ import annotations
@@ -78,17 +79,45 @@ def cube_flight(sizes: list[float], pi: list[float], rng: random.Random, landing
         held = [i for i in held if EPS < pi[i] < 1 - EPS]
 
 
+def octaves(sizes: list[int]) -> list[list[int]]:
+    """The indices of the units by octave of size, the largest first."""
+    classes: dict[int, list[int]] = {}
+    for i, size in enumerate(sizes):
+        classes.setdefault(int(size).bit_length(), []).append(i)
+    return [classes[k] for k in sorted(classes, reverse=True)]
+
+
+def flown(sizes: list[int], pi: list[float], rng: random.Random) -> list[float]:
+    """The probabilities after a flight in each octave: at most two of each are fractional."""
+    out = list(pi)
+    for units in octaves(sizes):
+        rng.shuffle(units)
+        for i, p in zip(units, cube_flight([float(sizes[i]) for i in units], [pi[i] for i in units], rng, False)):
+            out[i] = p
+    return out
+
+
+def landed(sizes: list[int], pi: list[float], rng: random.Random) -> list[float]:
+    """0 or 1 for each unit: octave by octave from the largest, each taking over the tokens that were missed before it."""
+    out, missed = list(pi), 0.0
+    for units in octaves(sizes):
+        rng.shuffle(units)
+        tokens = sum(sizes[i] for i in units)
+        wanted = sum(sizes[i] * pi[i] for i in units) + missed
+        shifted = [min(max(pi[i] + missed / tokens, 0.0), 1.0) for i in units]
+        for i, p in zip(units, cube_flight([float(sizes[i]) for i in units], shifted, rng, True)):
+            out[i] = p
+        missed = wanted - sum(sizes[i] * out[i] for i in units)
+    return out
+
+
 def _flights(units: DataFrame, seed: int, last: bool) -> DataFrame:
-    """The units after a flight in each block; ``last``: one block a source, from the largest unit down, with the landing."""
+    """The units after a flight in each block; ``last``: one block a source, with the landing."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rng = random.Random(f"{seed}|{'|'.join(map(str, key))}")
         pdf = pdf.sort_values("__id", kind="stable")
-        order = rng.sample(range(len(pdf)), len(pdf))
-        if last:
-            order.sort(key=lambda i: -pdf["n_tokens"].iloc[i])
-        pdf = pdf.iloc[order]
-        return pdf.assign(pi=cube_flight(pdf["n_tokens"].astype(float).tolist(), pdf["pi"].tolist(), rng, last))
+        return pdf.assign(pi=(landed if last else flown)(pdf["n_tokens"].tolist(), pdf["pi"].tolist(), rng))
 
     return units.groupBy(*(["source"] if last else ["source", "__block"])).applyInPandas(run, units.schema)
 
