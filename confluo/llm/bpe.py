@@ -128,7 +128,8 @@ def encode_corpus(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     """id, ids: the token ids of each row's text without special tokens, one row per input row.
 
     A null and an empty text have an empty list; other columns are not read; a null id stays null; repeated rows
-    are encoded each. No shuffle: texts go to the Python workers in Arrow batches, ids come back as flat arrays.
+    are encoded each. Texts are shuffled only if the scan has few partitions; they go to the Python workers in Arrow
+    batches, ids come back as flat arrays.
     """
     schema = f"`{id_column}` {df.schema[id_column].dataType.simpleString()}, ids array<int>"
 
