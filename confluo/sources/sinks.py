@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.history import upsert
+from ..runtime import materialize
+
 _PIECE = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|--[^\n]*|/\*.*?\*/|;", re.S)
 
 
@@ -58,15 +62,13 @@ def run_script(spark: SparkSession, script: str) -> list[DataFrame]:
 def materialise(df: DataFrame, path: str, mode: str = "table", keys: Sequence[str] = (), hash_column: str | None = None) -> DataFrame:
     """``table``: replace the table. ``incremental``: merge into it by keys. The new version is written beside the old one and
     named by the returned DataFrame, so a reader of the old version is not disturbed and a failed write leaves it whole."""
-    from ..operators.history import upsert
-    from ..runtime import materialize
-
+    label = path.rstrip("/").rsplit("/", 1)[-1]
     if mode == "table":
-        return materialize(df, path)
+        return materialize(df, label)
     try:
         old = df.sparkSession.read.parquet(path)
-    except Exception as e:  # noqa: BLE001
+    except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return materialize(df, path.rsplit("/", 1)[-1])
-    return materialize(upsert(old, df, list(keys), hash_column), path.rsplit("/", 1)[-1])
+        return materialize(df, label)
+    return materialize(upsert(old, df, list(keys), hash_column), label)

@@ -227,6 +227,16 @@ def test_scripts_and_sets(spark, tmp_path):
         sinks.publish_all({"s": df, "t": df}, {"s": "1"}, str(tmp_path))
 
 
+def test_tables_are_replaced_or_merged(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    path = str(tmp_path / "t")
+    assert rows(sinks.materialise(df, path, "incremental", ["k"])) == rows(df)
+    df.write.parquet(path)
+    new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    assert rows(sinks.materialise(new, path, "incremental", ["k"])) == Counter([(1, "a"), (2, "c"), (3, "d")])
+    assert rows(sinks.materialise(new, path)) == rows(new) and rows(spark.read.parquet(path)) == rows(df)
+
+
 def test_settings(tmp_path):
     path = tmp_path / "s.json"
     path.write_text('{"link_threshold": 0.9, "sources": {"a": {"url": "${HOST:-local}/x", "token": "${TOKEN}"}}}')
