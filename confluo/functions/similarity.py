@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from . import pairwise
 from .scores import r
 
 
@@ -45,6 +47,11 @@ def _jaro_winkler(a: str, b: str) -> float:
     return jaro + head * 0.1 * (1 - jaro)
 
 
+def jaro_winklers(t: pairwise.Texts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of many pairs of numbered texts, of four digits."""
+    return pairwise.jaro_winkler(t, a, b, _jaro_winkler)
+
+
 def _pairwise(score):
     @F.pandas_udf(DoubleType())
     def run(a: pd.Series, b: pd.Series) -> pd.Series:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import scores, text
-from ..runtime import discard, materialize
+from ..functions import pairwise, scores, text
+from ..runtime import discard, fenced, materialize
 from .history import latest_by
 
 #: Field weights and thresholds of the score, in the order of the blocking labels.
@@ -44,6 +47,123 @@ def candidate_pairs(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return left.join(right, ["key", "a", "b"]).where("left < right").select("left", "right").distinct()
 
 
+#: Rows of a part of a block where pairs are scored as they arise, rows and pairs taken at once, pairs of a task.
+PART_ROWS, ROWS_AT_ONCE, PAIRS_AT_ONCE, TASK_PAIRS = 512, 4000, 1 << 17, 400_000
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """Ids that several rows have."""
+    return rows.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+
+
+def cells(rows: DataFrame, part_rows: int = PART_ROWS) -> tuple[DataFrame, int]:
+    """Rows under each (field, value) they share with others, with their columns: key, a, b (two parts of the block, or one
+    twice), part, field (its place in WEIGHTS); and how many pairs all cells give."""
+    keys = F.array_compact(F.array(*[F.when(F.col(f).isNotNull(), F.struct(F.lit(i).cast("byte").alias("field"), F.concat(F.lit(f + "="), F.col(f)).alias("key"))) for i, f in enumerate(WEIGHTS)]))
+    blocks = lambda *c: rows.where("id is not null").select(F.explode(keys).alias("k"), *c)
+    sizes = materialize(blocks().groupBy("k.key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    n = sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+    of = sizes.select("key", F.ceil(F.col("n") / part_rows).cast("int").alias("parts"))
+    held = blocks(*rows.columns).select("k.key", "k.field", *rows.columns).join(of, "key").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    other = held.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).drop("parts")
+    return other.select("*", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).drop("other"), int(n)
+
+
+def _pairs(columns: dict[str, np.ndarray], codes: Sequence[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of rows in cells, sorted by cell and id: of two parts those across, and each pair in the first field it shares."""
+    cell, part, field, cross = columns["cell"], columns["part"], columns["field"], columns["cross"]
+    ends = np.searchsorted(cell, cell, "right")
+    later = ends - np.arange(len(cell)) - 1
+    upto = np.cumsum(later)
+    at = 0
+    while at < len(cell):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS_AT_ONCE, "right")))
+        n = later[at:to]
+        left = np.repeat(np.arange(at, to), n)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+        keep = ~cross[left] | (part[left] != part[right])
+        for i, c in enumerate(codes):
+            if field[at:to].max() > i:
+                keep &= (c[left] != c[right]) | (field[left] <= i)
+        if keep.any():
+            yield left[keep], right[keep]
+        at = to
+
+
+def _scored_cells(score: Callable, names: Sequence[str]) -> Callable:
+    """For mapInArrow over cells sorted by key, a, b, id: left, right and the columns that ``score`` gives for two lists of places."""
+
+    def some(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = t.combine_chunks()
+        turn = np.zeros(t.num_rows, bool)
+        for c in ("key", "a", "b"):
+            v = t[c].combine_chunks()
+            turn[1:] |= pc.not_equal(v[1:], v[:-1]).to_numpy(zero_copy_only=False)
+        columns = {c: t[c].to_numpy() for c in ("part", "field")} | {"cell": np.cumsum(turn), "cross": pc.not_equal(t["a"], t["b"]).to_numpy()}
+        codes = []
+        for f in list(WEIGHTS)[:-1]:  # missing values equal nothing
+            v = pc.fill_null(t[f].combine_chunks().dictionary_encode().indices, -1).to_numpy().astype(np.int64)
+            codes.append(np.where(v < 0, -1 - np.arange(len(v)), v))
+        ready, ids = score(t), t["id"].combine_chunks()
+        for left, right in _pairs(columns, codes):
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right)), *ready(left, right)], names=["left", "right", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+                held.append(batch.slice(i, ROWS_AT_ONCE))
+                if sum(x.num_rows for x in held) < ROWS_AT_ONCE:
+                    continue
+                t = pa.Table.from_batches(held)  # but its last cell, which may go on
+                last = [t[c][-1].as_py() for c in ("key", "a", "b")]
+                same = np.logical_and.reduce([pc.equal(t[c], v).to_numpy() for c, v in zip(("key", "a", "b"), last)])
+                whole = t.num_rows - int(same.sum())
+                if whole:
+                    yield from some(t.slice(0, whole))
+                held = t.slice(whole).to_batches()
+        if held:
+            yield from some(pa.Table.from_batches(held))
+
+    return run
+
+
+def scored_pairs(rows: DataFrame, score: Callable, schema: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """The candidate pairs of rows of which no two have the same id, scored where they arise: neither pairs nor texts of pairs are
+    shuffled or joined. ``score`` gets an Arrow table of rows and gives a function from two lists of places to Arrow columns."""
+    held, n = cells(rows, part_rows)
+    shuffles = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(min(shuffles, n // 10_000), n // TASK_PAIRS, 1)
+    names = [c.split()[0] for c in schema.split(", ")]
+    sorted_cells = held.repartition(tasks, "key", "a", "b").sortWithinPartitions("key", "a", "b", "id")
+    return sorted_cells.mapInArrow(_scored_cells(score, names), f"left string, right string, {schema}")
+
+
+def named(kernels: Sequence[Callable], with_email: bool = False) -> Callable:
+    """A score for ``scored_pairs``: equality of emails, if asked for, and ``kernels`` of names; null where a side is null."""
+
+    def score(t: pa.Table) -> Callable:
+        coded = {c: t[c].combine_chunks().dictionary_encode() for c in ("email", "company_name")}
+        of = {c: pc.fill_null(v.indices, -1).to_numpy().astype(np.int64) for c, v in coded.items()}
+        names, emails = of["company_name"], of["email"]
+        texts = pairwise.Texts(coded["company_name"].dictionary.to_pylist())
+
+        def ready(left: np.ndarray, right: np.ndarray) -> list[pa.Array]:
+            a, b = names[left], names[right]
+            missing, e, f = (a < 0) | (b < 0), emails[left], emails[right]
+            there = np.flatnonzero(~missing)
+            out = [pa.array((e == f).astype(float), mask=(e < 0) | (f < 0))] if with_email else []
+            for kernel in kernels:
+                values = np.zeros(len(a))
+                values[there] = kernel(texts, a[there], b[there])
+                out.append(pa.array(values, mask=missing))
+            return out
+
+        return ready
+
+    return score
+
+
 def similarity(a: Column, b: Column, exact: bool) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
     close = F.greatest(F.lit(0.0), F.lit(1.0) - F.levenshtein(a, b) / F.nullif(longest, F.lit(0)))

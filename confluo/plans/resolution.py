@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import scores, similarity
+from ..functions import pairwise, scores, similarity
 from ..operators import history, resolution
 from ..runtime import materialize, table
 from .texts import _null, _phone, _space
@@ -28,21 +30,36 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.pair_scores(resolution.candidate_pairs(rows), rows)
 
 
-def _named_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = materialize(_rows(spark, sf_dir), "rows")
+def _named_pairs(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """The candidate pairs, of ``of`` only those with a record of it, which are few."""
     side = lambda s, key: rows.select(F.col("id").alias(key), F.col("company_name").alias(s + "n"), F.col("email").alias(s + "e"))
-    return resolution.candidate_pairs(rows).join(side("l", "left"), "left").join(side("r", "right"), "right")
+    pairs = resolution.candidate_pairs(rows)
+    if of is not None:
+        pairs = pairs.join(of.select(F.col("id").alias("left"), F.lit(True).alias("a")), "left", "left").join(of.select(F.col("id").alias("right"), F.lit(True).alias("b")), "right", "left").where("a or b").drop("a", "b")
+    return pairs.join(side("l", "left"), "left").join(side("r", "right"), "right")
+
+
+def _scored_names(spark: SparkSession, sf_dir: str, score: Callable, schema: str, columns: Callable[[], list[Column]]) -> DataFrame:
+    """Pairs scored block by block. An id that several rows have pairs all of them, whichever share a value; such pairs, if any, take the joins and ``columns``."""
+    rows = materialize(_rows(spark, sf_dir).drop("source_system"), "rows")
+    again = resolution.repeated(rows)
+    if again.isEmpty():
+        return resolution.scored_pairs(rows, score, schema)
+    again = materialize(again, "repeated")
+    return resolution.scored_pairs(rows.join(again, "id", "left_anti"), score, schema).unionByName(_named_pairs(rows, again).select("left", "right", *columns()))
 
 
 def pair_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate pair's emails by equality, names by edits and by Jaro-Winkler."""
     n, e = (F.col("ln"), F.col("rn")), (F.col("le"), F.col("re"))
-    return _named_pairs(spark, sf_dir).select("left", "right", similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), scores.r(similarity.jaro_winkler(*n), 4).alias("name_jaro_winkler"))
+    score = resolution.named([pairwise.edit_share, similarity.jaro_winklers], with_email=True)
+    plain = lambda: [similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), scores.r(similarity.jaro_winkler(*n), 4).alias("name_jaro_winkler")]
+    return _scored_names(spark, sf_dir, score, "email_exact double, name_edits double, name_jaro_winkler double", plain)
 
 
 def pair_seq_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate pair's names by the ratio of their longest common blocks."""
-    return _named_pairs(spark, sf_dir).select("left", "right", similarity.sequence_ratio("ln", "rn").alias("name_ratio"))
+    return _named_pairs(materialize(_rows(spark, sf_dir), "rows")).select("left", "right", similarity.sequence_ratio("ln", "rn").alias("name_ratio"))
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
