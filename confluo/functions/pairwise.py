@@ -1,4 +1,4 @@
-"""Edits and Jaro-Winkler of many pairs of texts at once: one machine word a text, one array operation for all pairs.
+"""Edits, Jaro-Winkler and longest common blocks of many pairs of texts at once: one machine word a text, one array operation for all pairs.
 
 The places of a letter in a text are the bits of a word, so texts of more than ``WORD`` letters take the plain forms.
 """
@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from decimal import ROUND_HALF_UP, Decimal
+from difflib import SequenceMatcher
 
 import numpy as np
 
 #: Letters that a machine word has bits for, and pairs that are worked on at once (their arrays stay in the cache).
-WORD, AT_ONCE = 64, 16_384
+WORD, AT_ONCE, BLOCKS_AT_ONCE = 64, 16_384, 2048
 _1, _ALL = np.uint64(1), np.uint64(2**64 - 1)
 
 
@@ -35,11 +36,12 @@ class Texts:
         self.width = int(shared.sum()) + 1
         self.at = np.zeros((int(self.size.max(initial=0)) + 1, n), np.int64)  # by place, then text; ends in 0
         self.at[place, owner] = codes
+        self.rows = np.ascontiguousarray(self.at.T)
         self.bits = np.zeros(n * self.width, np.uint64)
         fits = (codes > 0) & (place < WORD)
         np.bitwise_or.at(self.bits, owner[fits] * self.width + codes[fits], _1 << place[fits].astype(np.uint64))
 
-    def __call__(self, kernel: Callable, plain: Callable[[str, str], float], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def __call__(self, kernel: Callable, plain: Callable[[str, str], float], a: np.ndarray, b: np.ndarray, at_once: int = AT_ONCE) -> np.ndarray:
         """Of the texts numbered a and b; plain for those b that don't fit a word. Longer a first, so the pairs of a kernel's call
         are of like length, and those whose a has ended are the tail of all arrays."""
         out, fits = np.empty(len(a)), self.size[b] <= WORD
@@ -47,8 +49,8 @@ class Texts:
             out[~fits] = [plain(self.texts[p], self.texts[q]) for p, q in zip(a[~fits], b[~fits])]
         order = np.argsort(np.iinfo(np.uint16).max - np.minimum(self.size, np.iinfo(np.uint16).max).astype(np.uint16)[a], kind="stable")
         order = order[fits[order]]
-        for i in range(0, len(order), AT_ONCE):
-            some = order[i : i + AT_ONCE]
+        for i in range(0, len(order), at_once):
+            some = order[i : i + at_once]
             out[some] = kernel(self, a[some], b[some])
         return out
 
@@ -106,6 +108,45 @@ def _jaro_winkler(t: Texts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(a == b, 1.0, out)
 
 
+def _common(t: Texts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Letters in common blocks: the longest, the first in a, then in b; then the same left and right of it.
+
+    A row for each letter of a, of its places in b. The runs of k + 1 letters that end in a row are those of k letters that
+    end in the row before, one place on. All pairs, and both sides of all blocks found, are searched at once; a row without
+    places stands between them.
+    """
+    total, wide = np.zeros(len(a)), int(t.size[a].max(initial=0)) + 1
+    rows = t.bits.take(t.rows[a, :wide] + (b * t.width)[:, None]).ravel()
+    at = np.flatnonzero(rows)
+    places, part = rows.take(at), at // wide
+    while len(at):
+        begins = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        counts = np.diff(begins, append=len(at))
+        part = np.repeat(np.arange(len(begins)), counts)
+        end, bit, length = at.take(begins), places.take(begins), np.ones(len(begins), np.int64)
+        p, s, runs, k = at, part, places, 1
+        while True:
+            p = p + 1
+            runs = rows.take(p) & (runs << _1)
+            on = np.flatnonzero(runs)
+            if not len(on):
+                break
+            p, s, runs, k = p.take(on), s.take(on), runs.take(on), k + 1
+            first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+            which = s.take(first)
+            end[which], bit[which], length[which] = p.take(first), runs.take(first), k
+        total += np.bincount(end // wide, length, len(a))
+        bit &= ~bit + _1
+        left, right = (bit >> (length - 1).astype(np.uint64)) - _1, ~((bit << _1) - _1)
+        after = at > np.repeat(end, counts)
+        before = at <= np.repeat(end - length, counts)
+        places = places & np.where(after, np.repeat(right, counts), np.where(before, np.repeat(left, counts), np.uint64(0)))
+        rows[at] = places
+        on = np.flatnonzero(places)
+        part, at, places = (2 * part + after).take(on), at.take(on), places.take(on)
+    return total
+
+
 def _plain_edits(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -115,6 +156,10 @@ def _plain_edits(a: str, b: str) -> int:
     return row[-1]
 
 
+def _plain_common(a: str, b: str) -> int:
+    return sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks())
+
+
 def half_up(value: float, digits: int) -> float:
     """As scores.r: of ten digits, then of fewer, half away from zero."""
     return float(Decimal(repr(float(value))).quantize(Decimal("1e-10"), ROUND_HALF_UP).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
@@ -152,3 +197,9 @@ def jaro_winkler(t: Texts, a: np.ndarray, b: np.ndarray, plain: Callable[[str, s
         there, back = np.unique(exact[near], return_inverse=True)
         out[near] = np.array([half_up(round(float(v), 8), 4) for v in there])[back]
     return out
+
+
+def sequence_ratio(t: Texts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """As similarity.sequence_ratio."""
+    common = np.where(a == b, t.size[a], t(_common, _plain_common, a, b, BLOCKS_AT_ONCE))
+    return _each(lambda m, n: round(2.0 * m / n, 8) if n else 1.0, common, t.size[a] + t.size[b])

@@ -30,13 +30,10 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.pair_scores(resolution.candidate_pairs(rows), rows)
 
 
-def _named_pairs(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
-    """The candidate pairs, of ``of`` only those with a record of it, which are few."""
+def _named_pairs(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """The candidate pairs with a record of ``of``, which are few."""
     side = lambda s, key: rows.select(F.col("id").alias(key), F.col("company_name").alias(s + "n"), F.col("email").alias(s + "e"))
-    pairs = resolution.candidate_pairs(rows)
-    if of is not None:
-        pairs = pairs.join(of.select(F.col("id").alias("left"), F.lit(True).alias("a")), "left", "left").join(of.select(F.col("id").alias("right"), F.lit(True).alias("b")), "right", "left").where("a or b").drop("a", "b")
-    return pairs.join(side("l", "left"), "left").join(side("r", "right"), "right")
+    return resolution.candidate_pairs(rows).join(of.select(F.col("id").alias("left"), F.lit(True).alias("a")), "left", "left").join(of.select(F.col("id").alias("right"), F.lit(True).alias("b")), "right", "left").where("a or b").drop("a", "b").join(side("l", "left"), "left").join(side("r", "right"), "right")
 
 
 def _scored_names(spark: SparkSession, sf_dir: str, score: Callable, schema: str, columns: Callable[[], list[Column]]) -> DataFrame:
@@ -59,7 +56,7 @@ def pair_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pair_seq_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate pair's names by the ratio of their longest common blocks."""
-    return _named_pairs(materialize(_rows(spark, sf_dir), "rows")).select("left", "right", similarity.sequence_ratio("ln", "rn").alias("name_ratio"))
+    return _scored_names(spark, sf_dir, resolution.named([pairwise.sequence_ratio]), "name_ratio double", lambda: [similarity.sequence_ratio("ln", "rn").alias("name_ratio")])
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:

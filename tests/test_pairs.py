@@ -71,3 +71,19 @@ def test_pair_similarities_equal_sql(spark, odd, monkeypatch, part_rows):
     monkeypatch.setattr(resolution, "PAIRS_AT_ONCE", 500)
     same(spark, "pair_similarities", *odd)
     assert no_join_over_pairs(registry.QUERIES["pair_similarities"](spark, SF))
+
+
+def test_many_common_blocks_equal_one_by_one():
+    texts, a, b = some_texts()
+    for x, y, ratio in zip(a, b, pairwise.sequence_ratio(pairwise.Texts(texts), a, b)):
+        assert ratio == round(SequenceMatcher(None, texts[x], texts[y]).ratio(), 8)
+
+
+@tables
+def test_pair_seq_ratio_of_all_pairs(spark, odd):
+    folder, con = odd
+    at = registry.ORACLE["pair_similarities"]
+    names = con.execute(at[: at.rindex("select p.")] + 'select p."left", p."right", l.company_name, r.company_name from pairs p join rows_ l on l.id = p."left" join rows_ r on r.id = p."right"').fetchall()
+    want = Counter((p, q, None if x is None or y is None else round(SequenceMatcher(None, x, y).ratio(), 8)) for p, q, x, y in names)
+    assert Counter(tuple(r) for r in registry.QUERIES["pair_seq_ratio"](spark, folder).collect()) == want
+    assert no_join_over_pairs(registry.QUERIES["pair_seq_ratio"](spark, SF))
