@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pairwise, scores, text
-from ..runtime import discard, fenced, materialize
+from ..runtime import discard, materialize
 from .history import latest_by
 
 #: Field weights and thresholds of the score, in the order of the blocking labels.
@@ -91,7 +91,7 @@ def _pairs(columns: dict[str, np.ndarray], codes: Sequence[np.ndarray]) -> Itera
 
 
 def _scored_cells(score: Callable, names: Sequence[str]) -> Callable:
-    """For mapInArrow over cells sorted by key, a, b, id: left, right and the columns that ``score`` gives for two lists of places."""
+    """For mapInArrow over cells sorted by key, a, b, id: the pairs that ``score`` keeps, with its columns."""
 
     def some(t: pa.Table) -> Iterator[pa.RecordBatch]:
         t = t.combine_chunks()
@@ -106,7 +106,8 @@ def _scored_cells(score: Callable, names: Sequence[str]) -> Callable:
             codes.append(np.where(v < 0, -1 - np.arange(len(v)), v))
         ready, ids = score(t), t["id"].combine_chunks()
         for left, right in _pairs(columns, codes):
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right)), *ready(left, right)], names=["left", "right", *names])
+            left, right, *values = ready(left, right)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right)), *values], names=["left", "right", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -130,13 +131,14 @@ def _scored_cells(score: Callable, names: Sequence[str]) -> Callable:
 
 def scored_pairs(rows: DataFrame, score: Callable, schema: str, part_rows: int = PART_ROWS) -> DataFrame:
     """The candidate pairs of rows of which no two have the same id, scored where they arise: neither pairs nor texts of pairs are
-    shuffled or joined. ``score`` gets an Arrow table of rows and gives a function from two lists of places to Arrow columns."""
+    shuffled or joined. ``score`` gets an Arrow table of rows and gives a function from two lists of places, those of pairs, to two
+    lists of those kept and Arrow columns named by ``schema``."""
     held, n = cells(rows, part_rows)
     shuffles = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(min(shuffles, n // 10_000), n // TASK_PAIRS, 1)
-    names = [c.split()[0] for c in schema.split(", ")]
+    names = [c.split()[0] for c in schema.split(", ")[2:]]
     sorted_cells = held.repartition(tasks, "key", "a", "b").sortWithinPartitions("key", "a", "b", "id")
-    return sorted_cells.mapInArrow(_scored_cells(score, names), f"left string, right string, {schema}")
+    return sorted_cells.mapInArrow(_scored_cells(score, names), schema)
 
 
 def named(kernels: Sequence[Callable], with_email: bool = False) -> Callable:
@@ -148,11 +150,11 @@ def named(kernels: Sequence[Callable], with_email: bool = False) -> Callable:
         names, emails = of["company_name"], of["email"]
         texts = pairwise.Texts(coded["company_name"].dictionary.to_pylist())
 
-        def ready(left: np.ndarray, right: np.ndarray) -> list[pa.Array]:
+        def ready(left: np.ndarray, right: np.ndarray) -> list:
             a, b = names[left], names[right]
             missing, e, f = (a < 0) | (b < 0), emails[left], emails[right]
             there = np.flatnonzero(~missing)
-            out = [pa.array((e == f).astype(float), mask=(e < 0) | (f < 0))] if with_email else []
+            out = [left, right] + ([pa.array((e == f).astype(float), mask=(e < 0) | (f < 0))] if with_email else [])
             for kernel in kernels:
                 values = np.zeros(len(a))
                 values[there] = kernel(texts, a[there], b[there])
@@ -186,6 +188,62 @@ def pair_scores(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return j.withColumn("confidence", scores.r(confidence, 8)).withColumn("blocking_rule", rule)
 
 
+def near(threshold: float) -> Callable:
+    """A score for ``scored_pairs``: keeps the pairs whose match_probability may be ``threshold`` or more. Addresses, and names that
+    the other fields and the lengths leave open, count by the least edits that they can have; then those names' edits are counted."""
+
+    def score(t: pa.Table) -> Callable:
+        coded = {f: t[f].combine_chunks().dictionary_encode() for f in WEIGHTS}
+        of = {f: pc.fill_null(v.indices, -1).to_numpy().astype(np.int64) for f, v in coded.items()}
+        sizes = {f: np.append(pc.utf8_length(coded[f].dictionary).to_numpy(), 0).astype(np.int64)[of[f]] for f in THRESHOLDS}
+        texts = pairwise.Texts(coded["company_name"].dictionary.to_pylist())
+
+        def ready(left: np.ndarray, right: np.ndarray) -> list:
+            top, weight, name = np.zeros(len(left)), np.zeros(len(left)), np.zeros(len(left))
+            for f, w in WEIGHTS.items():
+                a, b = of[f][left], of[f][right]
+                there = (a >= 0) & (b >= 0)
+                most = (a == b).astype(float)
+                if f in sizes:
+                    x, y = sizes[f][left], sizes[f][right]
+                    most = np.where(a == b, 1.0, 1.0 - np.maximum(np.abs(x - y), 1) / np.maximum(np.maximum(x, y), 1))
+                top += np.where(there, most * w, 0.0)
+                weight += np.where(there, w, 0.0)
+                name = most if f == "company_name" else name
+            lacks = top - (threshold - 1e-6) * weight
+            a, b = of["company_name"][left], of["company_name"][right]
+            fits = np.minimum(texts.size[a], texts.size[b]) <= pairwise.WORD if len(texts.size) else np.zeros(len(a), bool)
+            count = np.flatnonzero((lacks >= 0) & (a >= 0) & (b >= 0) & (a != b) & fits)
+            if len(count):
+                lacks[count] += WEIGHTS["company_name"] * (pairwise.edit_share(texts, a[count], b[count]) - name[count])
+            keep = lacks >= 0
+            return [left[keep], right[keep]]
+
+        return ready
+
+    return score
+
+
+def links(rows: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """left, right of the candidate pairs whose match_probability is ``threshold`` or more, once each. Pairs that can't be are
+    dropped where they arise, so only the others are joined; an id that several rows have keeps all its pairs."""
+    rows = materialize(rows.drop("source_system"), "rows")
+    again = repeated(rows)
+    if again.isEmpty():
+        pairs = scored_pairs(rows, near(threshold), "left string, right string")
+    else:
+        again = materialize(again, "repeated")
+        pairs = scored_pairs(rows.join(again, "id", "left_anti"), near(threshold), "left string, right string").unionByName(pairs_of(rows, again))
+    scored = pair_scores(materialize(pairs, "near"), rows).where(F.col("match_probability") >= threshold)
+    return materialize(scored.select("left", "right").distinct(), "linked")
+
+
+def pairs_of(rows: DataFrame, some: DataFrame) -> DataFrame:
+    """The candidate pairs with an id of ``some``."""
+    mark = lambda key: some.select(F.col("id").alias(key), F.lit(True).alias("of_" + key))
+    return candidate_pairs(rows).join(mark("left"), "left", "left").join(mark("right"), "right", "left").where("of_left or of_right").select("left", "right")
+
+
 def groups(links: DataFrame, rounds: int = 40) -> DataFrame:
     """id, root (least id of the group) of the vertices of ``links`` (left, right): least neighbours and pointer jumps until stable.
 

@@ -33,7 +33,7 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _named_pairs(rows: DataFrame, of: DataFrame) -> DataFrame:
     """The candidate pairs with a record of ``of``, which are few."""
     side = lambda s, key: rows.select(F.col("id").alias(key), F.col("company_name").alias(s + "n"), F.col("email").alias(s + "e"))
-    return resolution.candidate_pairs(rows).join(of.select(F.col("id").alias("left"), F.lit(True).alias("a")), "left", "left").join(of.select(F.col("id").alias("right"), F.lit(True).alias("b")), "right", "left").where("a or b").drop("a", "b").join(side("l", "left"), "left").join(side("r", "right"), "right")
+    return resolution.pairs_of(rows, of).join(side("l", "left"), "left").join(side("r", "right"), "right")
 
 
 def _scored_names(spark: SparkSession, sf_dir: str, score: Callable, schema: str, columns: Callable[[], list[Column]]) -> DataFrame:
@@ -51,17 +51,16 @@ def pair_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, e = (F.col("ln"), F.col("rn")), (F.col("le"), F.col("re"))
     score = resolution.named([pairwise.edit_share, similarity.jaro_winklers], with_email=True)
     plain = lambda: [similarity.exact(*e).alias("email_exact"), similarity.edit_share(*n).alias("name_edits"), scores.r(similarity.jaro_winkler(*n), 4).alias("name_jaro_winkler")]
-    return _scored_names(spark, sf_dir, score, "email_exact double, name_edits double, name_jaro_winkler double", plain)
+    return _scored_names(spark, sf_dir, score, "left string, right string, email_exact double, name_edits double, name_jaro_winkler double", plain)
 
 
 def pair_seq_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate pair's names by the ratio of their longest common blocks."""
-    return _scored_names(spark, sf_dir, resolution.named([pairwise.sequence_ratio]), "name_ratio double", lambda: [similarity.sequence_ratio("ln", "rn").alias("name_ratio")])
+    return _scored_names(spark, sf_dir, resolution.named([pairwise.sequence_ratio]), "left string, right string, name_ratio double", lambda: [similarity.sequence_ratio("ln", "rn").alias("name_ratio")])
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = pair_scores(spark, sf_dir).where("match_probability >= 0.95").select("left", "right")
-    return resolution.groups(links)
+    return resolution.groups(resolution.links(_rows(spark, sf_dir)))
 
 
 def duplicate_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,3 +87,13 @@ def test_pair_seq_ratio_of_all_pairs(spark, odd):
     want = Counter((p, q, None if x is None or y is None else round(SequenceMatcher(None, x, y).ratio(), 8)) for p, q, x, y in names)
     assert Counter(tuple(r) for r in registry.QUERIES["pair_seq_ratio"](spark, folder).collect()) == want
     assert no_join_over_pairs(registry.QUERIES["pair_seq_ratio"](spark, SF))
+
+
+@tables
+def test_clusters_equal_sql(spark, odd, monkeypatch):
+    called = []
+    levenshtein = resolution.pair_scores
+    monkeypatch.setattr(resolution, "pair_scores", lambda pairs, rows: called.append(pairs.count()) or levenshtein(pairs, rows))
+    same(spark, "clusters", *odd)
+    assert registry.QUERIES["clusters"](spark, SF).count()
+    assert called[1] < registry.QUERIES["candidate_pairs"](spark, SF).count() / 2  # of most pairs no edits are counted in the JVM
