@@ -57,14 +57,16 @@ def repeated(rows: DataFrame) -> DataFrame:
 
 
 def cells(rows: DataFrame, part_rows: int = PART_ROWS) -> tuple[DataFrame, int]:
-    """Rows under each (field, value) they share with others, with their columns: key, a, b (two parts of the block, or one
+    """Rows, of which no two have the same id, under each (field, value) they share with others, with their columns: key, a, b (two parts of the block, or one
     twice), part, field (its place in WEIGHTS); and how many pairs all cells give."""
     keys = F.array_compact(F.array(*[F.when(F.col(f).isNotNull(), F.struct(F.lit(i).cast("byte").alias("field"), F.concat(F.lit(f + "="), F.col(f)).alias("key"))) for i, f in enumerate(WEIGHTS)]))
     blocks = lambda *c: rows.where("id is not null").select(F.explode(keys).alias("k"), *c)
     sizes = materialize(blocks().groupBy("k.key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     n = sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
-    of = sizes.select("key", F.ceil(F.col("n") / part_rows).cast("int").alias("parts"))
-    held = blocks(*rows.columns).select("k.key", "k.field", *rows.columns).join(of, "key").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    size = F.greatest(F.lit(part_rows), F.least(F.lit(4 * part_rows), F.col("n") / 16))  # large blocks take larger parts, as each row goes to all
+    of = sizes.select("key", F.ceil(F.col("n") / size).cast("int").alias("parts"))
+    held = blocks("id").select("k.key", "k.field", "id").join(of, "key").join(rows, "id")  # rows follow once keys of one row are gone
+    held = held.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
     other = held.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).drop("parts")
     return other.select("*", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).drop("other"), int(n)
 
